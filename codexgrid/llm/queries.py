@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from codexgrid.llm import truncation
+from codexgrid.llm import sigtree, truncation
 from codexgrid.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,3 +29,17 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def p5_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return truncation.truncation_report(table(spark, sf_dir, "structured"))
+
+
+def _blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "structured").filter(F.coalesce("type", F.lit("paragraph")) != "image")
+
+
+@query
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sigtree.similar_pairs(_blocks(spark, sf_dir)).select("block_id_a", "block_id_b")
+
+
+@query
+def p3_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sigtree.similar_records(_blocks(spark, sf_dir))
