@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from codexgrid.llm import sigtree, truncation
+from codexgrid.llm import mixture, sigtree, splitting, truncation
 from codexgrid.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -43,3 +43,23 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def p3_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sigtree.similar_records(_blocks(spark, sf_dir))
+
+
+@query
+def p8_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixture.mixture(table(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_targets"))
+
+
+@query
+def p8_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixture.mixture_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_targets"))
+
+
+@query
+def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return splitting.split_oversized(table(spark, sf_dir, "documents")).filter("piece_no = 1").select("doc_id").distinct()
+
+
+@query
+def p9_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return splitting.split_oversized(table(spark, sf_dir, "documents"))
