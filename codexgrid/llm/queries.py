@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from codexgrid.llm import mixture, sigtree, splitting, truncation
+from codexgrid.llm import leakage, mixture, sigtree, splitting, truncation
 from codexgrid.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -63,3 +63,14 @@ def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def p9_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return splitting.split_oversized(table(spark, sf_dir, "documents"))
+
+
+@query
+def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = leakage.leaked_passages(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"))
+    return found.filter("kind = 'verbatim'").select("doc_id", "item_id")
+
+
+@query
+def p7_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leakage.leaked_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"))
