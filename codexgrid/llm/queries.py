@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from codexgrid.llm import leakage, mixture, sigtree, splitting, truncation
+from codexgrid.llm import leakage, mixture, pairs, sigtree, splitting, truncation
 from codexgrid.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -74,3 +74,8 @@ def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def p7_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leakage.leaked_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"))
+
+
+@query
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pairs.broken_pairs(table(spark, sf_dir, "structured").filter("status = 'done'"))
