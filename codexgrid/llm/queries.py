@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from codexgrid.llm import leakage, mixture, pairs, sigtree, splitting, truncation
+from codexgrid.llm import alignment, leakage, mixture, pairs, sigtree, splitting, truncation
 from codexgrid.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -79,3 +79,9 @@ def p7_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairs.broken_pairs(table(spark, sf_dir, "structured").filter("status = 'done'"))
+
+
+@query
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "structured").filter("status = 'translated'")
+    return alignment.aligned_sentences(rows, glossary=table(spark, sf_dir, "glossary")).select("block_id", "text_no", "trans_no")
