@@ -31,7 +31,8 @@ FILTER_BITS = 23
 FANOUT = 8
 HOT = 100_000  # records of one shingle beyond which its subtree is sliced
 POSTINGS_PER_BUCKET = 1_500_000
-FRONTIER = 1 << 16
+FRONTIER = 1 << 14
+BITS_A_SHINGLE = 4  # width of the bitmaps over the mean size of a record
 
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 
@@ -135,24 +136,22 @@ def _postings(docs: DataFrame, k: int, t: float, sketch: np.ndarray, width: int,
             bits = np.zeros((len(pdf), width), np.uint8)
             bits[row, (h & np.uint64(width - 1)).astype(np.int64)] = 1
             sig = np.packbits(bits, axis=1).view(np.uint64)
-            start = np.concatenate([[0], np.cumsum(n)[:-1]])
-            rank = np.arange(len(row)) - start[row]
-            keep = rank <= n[row] - _least(t, n)[row]
+            rank = np.arange(len(row)) - (np.cumsum(n) - n)[row]
+            keep = (rank <= n[row] - _least(t, n)[row]) & (q > 8)  # 8: seen once in all texts
             row, h, q, rank = row[keep], h[keep], q[keep], rank[keep]
-            role = rank <= n[row] - _least(2 * t / (1 + t), n)[row]
             tok = ((h >> np.uint64(16)) & np.uint64(0xFFFFFFFF)).astype(np.uint64)
             key = pdf["k1"].to_numpy().astype(np.int64)
             if (big := q >= hot_level).any():  # slices: a record meets each slice of a hot shingle's records in one subtree
                 parts = np.maximum(2, np.exp2(q[big] / 8.0) // HOT).astype(np.int64)
-                r2, t2, p2 = (np.repeat(x[big], parts) for x in (row, tok, role))
+                r2, t2, p2 = (np.repeat(x[big], parts) for x in (row, tok, rank))
                 m = np.repeat(parts, parts)
                 other = np.arange(len(m)) - np.repeat(np.cumsum(parts) - parts, parts)
                 mine = (key[r2].astype(np.uint64) % m.astype(np.uint64)).astype(np.int64)
                 t2 = _mix(t2 * np.uint64(1 << 20) + (np.minimum(mine, other) * m + np.maximum(mine, other)).astype(np.uint64)) & np.uint64(0xFFFFFFFF)
-                row, tok, role = (np.concatenate([a[~big], b]) for a, b in ((row, r2), (tok, t2), (role, p2)))
+                row, tok, rank = (np.concatenate([a[~big], b]) for a, b in ((row, r2), (tok, t2), (rank, p2)))
             bucket = (tok % np.uint64(buckets)).astype(np.int64)
             o = np.argsort(bucket, kind="stable")
-            row, tok, role, bucket = row[o], tok[o], role[o], bucket[o]
+            row, tok, rank, bucket = row[o], tok[o], rank[o], bucket[o]
             cuts = np.flatnonzero(np.diff(bucket)) + 1
             out_b, out = [], []
             for a, b in zip(np.concatenate([[0], cuts]), np.concatenate([cuts, [len(bucket)]])):
@@ -161,7 +160,7 @@ def _postings(docs: DataFrame, k: int, t: float, sketch: np.ndarray, width: int,
                 recs, at = np.unique(row[a:b], return_inverse=True)
                 out_b.append(int(bucket[a]))
                 out.append(
-                    np.array([len(recs), b - a], np.uint32).tobytes() + key[recs].tobytes() + sig[recs].tobytes() + n[recs].astype(np.uint32).tobytes() + tok[a:b].astype(np.uint32).tobytes() + (at.astype(np.uint32) * 2 + role[a:b]).astype(np.uint32).tobytes()
+                    np.array([len(recs), b - a, n.max() >= 1 << 16], np.uint32).tobytes() + key[recs].tobytes() + sig[recs].tobytes() + n[recs].astype(np.uint32).tobytes() + tok[a:b].astype(np.uint32).tobytes() + at.astype(np.uint16 if len(recs) < 1 << 16 else np.uint32).tobytes() + rank[a:b].astype(np.uint32 if n.max() >= 1 << 16 else np.uint16).tobytes()
                 )
             yield pd.DataFrame({"bucket": out_b, "body": out})
 
@@ -169,10 +168,10 @@ def _postings(docs: DataFrame, k: int, t: float, sketch: np.ndarray, width: int,
 
 
 def _unpack(bodies: list[bytes], words: int):
-    key, sig, n, tok, rec, role, base = [], [], [], [], [], [], 0
+    key, sig, n, tok, rec, rank, base = [], [], [], [], [], [], 0
     for b in bodies:
-        r, p = (int(x) for x in np.frombuffer(b, np.uint32, 2))
-        at = 8
+        r, p, long_ = (int(x) for x in np.frombuffer(b, np.uint32, 3))
+        at = 12
         key.append(np.frombuffer(b, np.int64, r, at))
         at += 8 * r
         sig.append(np.frombuffer(b, np.uint64, r * words, at).reshape(r, words))
@@ -181,23 +180,28 @@ def _unpack(bodies: list[bytes], words: int):
         at += 4 * r
         tok.append(np.frombuffer(b, np.uint32, p, at))
         at += 4 * p
-        x = np.frombuffer(b, np.uint32, p, at)
-        rec.append((x >> 1).astype(np.int64) + base)
-        role.append((x & 1).astype(bool))
+        kind = np.dtype(np.uint16 if r < 1 << 16 else np.uint32)
+        rec.append(np.frombuffer(b, kind, p, at).astype(np.int64) + base)
+        at += kind.itemsize * p
+        rank.append(np.frombuffer(b, np.uint32 if long_ else np.uint16, p, at).astype(np.int32))
         base += r
-    return tuple(map(np.concatenate, (key, sig, n, tok, rec, role)))
+    return tuple(map(np.concatenate, (key, sig, n, tok, rec, rank)))
 
 
 class _Level:
-    __slots__ = ("least", "most", "sig", "spare", "start", "count")
+    __slots__ = ("least", "most", "room", "sig", "spare", "start", "count")
 
-    def __init__(self, least, most, sig, spare, start=None, count=None):
-        self.least, self.most, self.sig, self.spare, self.start, self.count = least, most, sig, spare, start, count
+    def __init__(self, least, most, room, sig, spare, start=None, count=None):
+        self.least, self.most, self.room, self.sig, self.spare, self.start, self.count = least, most, room, sig, spare, start, count
 
 
-def _forest(n: np.ndarray, sig: np.ndarray, run: np.ndarray) -> list[_Level]:
-    """Signature trees of all runs at once: level 0 has the records, the last one root a run."""
-    levels = [_Level(n, n, sig, n - np.bitwise_count(sig).sum(1).astype(np.int64))]
+def _forest(n: np.ndarray, room: np.ndarray, sig: np.ndarray, run: np.ndarray) -> list[_Level]:
+    """Signature trees of all runs at once: level 0 has the records, the last one root a run.
+
+    ``room``: how many shingles a record has from the run's shingle on. A pair
+    that meets first in this run can't share more.
+    """
+    levels = [_Level(n, n, room, sig, n - np.bitwise_count(sig).sum(1).astype(np.int32))]
     while True:
         first = np.flatnonzero(np.concatenate([[True], run[1:] != run[:-1]]))
         size = np.diff(np.concatenate([first, [len(run)]]))
@@ -208,7 +212,7 @@ def _forest(n: np.ndarray, sig: np.ndarray, run: np.ndarray) -> list[_Level]:
         start = np.flatnonzero(offset % FANOUT == 0)
         count = np.diff(np.concatenate([start, [len(run)]]))
         levels.append(
-            _Level(np.minimum.reduceat(below.least, start), np.maximum.reduceat(below.most, start), np.bitwise_or.reduceat(below.sig, start, axis=0), np.maximum.reduceat(below.spare, start), start, count)
+            _Level(np.minimum.reduceat(below.least, start), np.maximum.reduceat(below.most, start), np.maximum.reduceat(below.room, start), np.bitwise_or.reduceat(below.sig, start, axis=0), np.maximum.reduceat(below.spare, start), start, count)
         )
         run = run[start]
 
@@ -229,6 +233,8 @@ def _dual(levels: list[_Level], t: float) -> Iterator[tuple[np.ndarray, np.ndarr
         ok &= low.least[j] * t <= low.most[i] + 1e-9
         i, j = i[ok], j[ok]
         need = np.ceil(t / (1 + t) * (low.least[i] + low.least[j]) - 1e-9)
+        ok = np.minimum(low.room[i], low.room[j]) >= need
+        i, j, need = i[ok], j[ok], need[ok]
         most = np.bitwise_count(low.sig[i] & low.sig[j]).sum(1) + np.minimum(low.spare[i], low.spare[j])
         ok = most >= need
         i, j = i[ok], j[ok]
@@ -240,24 +246,23 @@ def _dual(levels: list[_Level], t: float) -> Iterator[tuple[np.ndarray, np.ndarr
 
 def _candidates(posts: DataFrame, t: float, width: int) -> DataFrame:
     def join(pdf: pd.DataFrame) -> pd.DataFrame:
-        key, sig, n, tok, rec, role = _unpack(list(pdf["body"]), width // 64)
+        key, sig, n, tok, rec, rank = _unpack(list(pdf["body"]), width // 64)
         _, first, same = np.unique(key, return_index=True, return_inverse=True)
         rec = first[same[rec]]
-        n = n.astype(np.int64)
+        n = n.astype(np.int32)
         o = np.lexsort((rec, n[rec], tok))
-        tok, rec, role = tok[o], rec[o], role[o]
+        tok, rec, rank = tok[o], rec[o], rank[o]
         new = np.ones(len(tok), bool)
         new[1:] = (tok[1:] != tok[:-1]) | (rec[1:] != rec[:-1])
-        tok, rec, role = tok[new], rec[new], role[new]
+        tok, rec, rank = tok[new], rec[new], rank[new]
         edge = tok[1:] != tok[:-1]
         alone = np.concatenate([[True], edge]) & np.concatenate([edge, [True]])
-        tok, rec, role = tok[~alone], rec[~alone], role[~alone]
+        tok, rec, rank = tok[~alone], rec[~alone], rank[~alone]
         found = []
         if len(tok):
-            levels = _forest(n[rec], sig[rec], tok)
+            levels = _forest(n[rec], n[rec] - rank, sig[rec], tok)
             for i, j in _dual(levels, t):
-                ok = role[i] | (role[j] & (n[rec[i]] == n[rec[j]]))
-                a, b = key[rec[i[ok]]], key[rec[j[ok]]]
+                a, b = key[rec[i]], key[rec[j]]
                 found.append(np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], 1), axis=0))
         pairs = np.unique(np.concatenate(found), axis=0) if found else np.empty((0, 2), np.int64)
         return pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]})
@@ -293,7 +298,7 @@ def similar_classes(docs: DataFrame, k: int, t: float) -> DataFrame:
     sketch, total, texts = _sketch(docs, k)
     if not texts:
         return spark.createDataFrame([], "k1a long, k2a long, k1b long, k2b long, likeness double")
-    width = 1 << max(8, math.ceil(math.log2(2 * total / texts + 1)))
+    width = 1 << max(8, math.ceil(math.log2(BITS_A_SHINGLE * total / texts + 1)))
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil((1 - t) * total / POSTINGS_PER_BUCKET))
     cand = written(_candidates(_postings(docs, k, t, sketch, width, buckets), t, width), "sigtree-candidates")
     held = spark.sparkContext.broadcast(np.packbits(_key_filter(cand.select(F.explode(F.array("a", "b")).alias("k1")))))  # 2**FILTER_BITS bits
@@ -342,7 +347,7 @@ def similar_pairs(rows: DataFrame, id_col: str = "block_id", columns: tuple[str,
     an id count once; equal texts under different ids are pairs of likeness 1;
     an empty table yields no row; other columns are ignored.
     """
-    docs = _docs(rows, id_col, columns, max(k, least_words))
+    docs = written(_docs(rows, id_col, columns, max(k, least_words)), "sigtree-words")
     classes = similar_classes(docs, k, t)
     members = docs.select("id", "k1", "k2").distinct()
     a = members.select(F.col("id").alias("ida"), F.col("k1").alias("k1a"), F.col("k2").alias("k2a"))
@@ -357,7 +362,7 @@ def similar_records(rows: DataFrame, id_col: str = "block_id", columns: tuple[st
 
     Nulls, repeated rows and empty tables as in ``similar_pairs``.
     """
-    docs = _docs(rows, id_col, columns, max(k, least_words))
+    docs = written(_docs(rows, id_col, columns, max(k, least_words)), "sigtree-words")
     classes = similar_classes(docs, k, t)
     links = classes.select(F.explode(F.array(F.struct(F.col("k1a").alias("k1"), F.col("k2a").alias("k2")), F.struct(F.col("k1b").alias("k1"), F.col("k2b").alias("k2")))).alias("x")).groupBy("x.k1", "x.k2").agg(F.count("*").alias("n_links"))
     members = docs.select("id", "k1", "k2").distinct()
