@@ -78,8 +78,8 @@ def mixture(docs: DataFrame, targets: DataFrame, total: float | None = None, see
     s = sized.join(b.select("source", "n_available", "epochs", "rest"), "source")
     ranges = F.greatest(F.lit(1), F.ceil(F.col("n_available") / float(TEXTS_PER_RANGE)))
     s = s.withColumn("slot", F.floor((1 - F.col("key")) * ranges)).withColumn("taken", F.lit(False))  # greatest keys first
-    for _ in range(ROUNDS):
-        s = _take(s)
+    for k in range(ROUNDS):
+        s = written(_take(s), f"mixture-round-{k}")  # a few numbers a text; keeps each round's plan to itself
     return s.select("doc_id", "source", "n_tokens", (F.col("epochs") + F.col("taken").cast("int")).cast("int").alias("uses")).filter("uses > 0")
 
 
