@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from codexgrid.llm import alignment, leakage, mixture, pairs, sigtree, splitting, truncation
+from codexgrid.llm import alignment, leakage, mixture, pairs, scans, sigtree, splitting, truncation
 from codexgrid.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -85,3 +85,13 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "structured").filter("status = 'translated'")
     return alignment.aligned_sentences(rows, glossary=table(spark, sf_dir, "glossary")).select("block_id", "text_no", "trans_no")
+
+
+@query
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scans.scan_noise(_blocks(spark, sf_dir))
+
+
+@query
+def p1_repaired(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scans.repaired_records(_blocks(spark, sf_dir))
