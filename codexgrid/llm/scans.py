@@ -404,6 +404,7 @@ class Scans:
         """(block_id, noise), each once."""
         r = self._read().select("block_id", "kinds", "odd")
         seen = r.select("block_id", F.explode(F.concat(F.transform("kinds", lambda k: F.concat(F.lit("="), k)), "odd")).alias("x")).distinct()
+        seen = written(seen, "scans-seen")  # a few forms a row; both branches read it
         direct = seen.filter(F.col("x").startswith("=")).select("block_id", F.expr("substring(x, 2)").alias("noise"))
         words = seen.filter(~F.col("x").startswith("=")).join(self.replacements.select(F.col("form").alias("x")), "x").select("block_id", F.lit("misread").alias("noise"))
         return direct.unionByName(words).distinct()
