@@ -58,7 +58,7 @@ def marked(rows: DataFrame) -> DataFrame:
         .when(B.strip(B.text0(F.col("number"))).rlike(r"^\d{3,}$"), on("_page"))
         .otherwise(False)
     )
-    hidden = (B.kind(F.col("type")) != "image") & (noise | on("_foot") | B.table_cell(F.col("title"), F.col("text")))
+    hidden = (B.kind(F.col("type")) != "image") & (noise | on("_foot") | B.table_cell(F.col("title")))
     return d.withColumn("nav_hidden", hidden).drop("_toc", "_page", "_foot")
 
 

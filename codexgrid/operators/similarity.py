@@ -40,6 +40,7 @@ def _blocked(df: DataFrame, other: DataFrame, keys: list[str], mine: str, theirs
     n = df.groupBy(*keys).agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("_n"))
     m = other.groupBy(*keys).agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("_m"))
     d = df.join(n, keys).join(m, keys)
+    d = d.select(*(F.col(c).alias(c) for c in d.columns))
     return d.withColumn(mine, F.pmod(F.xxhash64("id", "text"), F.col("_n")).cast("int")).withColumn(theirs, F.explode(F.sequence(F.lit(0), F.col("_m") - 1))).drop("_n", "_m")
 
 
@@ -50,7 +51,8 @@ def similar_texts(left: DataFrame, right: DataFrame, keys: list[str], t: float,
     blocks of both sides; a task sees one pair of blocks and emits only what
     reaches ``t``. ``ordered``: only left_id < right_id (a join with itself).
     """
-    a, b = left.select(*keys, "id", F.coalesce("text", F.lit("")).alias("text")), right.select(*keys, "id", F.coalesce("text", F.lit("")).alias("text"))
+    fresh = lambda d: d.select(*(F.col(k).alias(k) for k in keys), F.col("id").alias("id"), F.coalesce("text", F.lit("")).alias("text"))  # noqa: E731 (new columns: both sides may be one table)
+    a, b = fresh(left), fresh(right)
     la, rb = _blocked(a, b, keys, "_bl", "_br"), _blocked(b, a, keys, "_br", "_bl")
     fields = ", ".join(f"`{k}` {left.schema[k].dataType.simpleString()}" for k in keys)
 

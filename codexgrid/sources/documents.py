@@ -4,15 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-BLOCK = T._parse_datatype_string(
+BLOCK = (
     "uid string, type string, number string, title string, text string, level int, parent string, status string, translation string, summary_ja string, title_ja string, "
     "modified boolean, justification string, prev_uid string, text_old string, annex_id int, page int, bbox array<double>, src string, label string, caption string"
 )
-DOCUMENT = T.StructType([T.StructField(n, T.StringType()) for n in ("regulation", "version", "source_date", "title")]).add("annex_titles", T._parse_datatype_string("map<string, struct<title string, title_ja string>>")).add("paragraphs", T.ArrayType(BLOCK))
-GLOSSARY = T._parse_datatype_string("regulation string, terms array<struct<term string, ja string, description string, definition_en string, paragraph_ref string, aliases array<string>>>")
-PROPOSALS = T._parse_datatype_string(
+FIELDS = [x.split()[0] for x in BLOCK.split(", ")]
+DOCUMENT = f"regulation string, version string, source_date string, title string, annex_titles map<string, struct<title string, title_ja string>>, paragraphs array<struct<{BLOCK}>>"
+GLOSSARY = ("regulation string, terms array<struct<term string, ja string, description string, definition_en string, paragraph_ref string, aliases array<string>>>")
+PROPOSALS = (
     "regulation string, proposals array<struct<id string, type string, target_uid string, anchor_uid string, number string, title string, text_new string, justification string, source_date string, source_label string>>"
 )
 
@@ -23,7 +23,7 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return found is not None and len(found) > 0
 
 
-def _json(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def _json(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).option("multiLine", True).json(path) if _exists(spark, path) else spark.createDataFrame([], schema)
 
 
@@ -35,7 +35,7 @@ def documents(spark: SparkSession, path: str) -> DataFrame:
 def blocks(docs: DataFrame) -> DataFrame:
     """One row a block, with regulation, version and pos; a block without type is a paragraph."""
     d = docs.select("regulation", "version", F.posexplode("paragraphs").alias("pos", "_b"))
-    return d.select("regulation", "version", "pos", *(F.col("_b")[f.name].alias(f.name) for f in BLOCK)).withColumn("type", F.coalesce("type", F.lit("paragraph")))
+    return d.select("regulation", "version", "pos", *(F.col("_b")[f].alias(f) for f in FIELDS)).withColumn("type", F.coalesce("type", F.lit("paragraph")))
 
 
 def glossary(spark: SparkSession, path: str) -> DataFrame:
@@ -58,7 +58,7 @@ def catalog(spark: SparkSession, path: str) -> DataFrame:
 
 def nested(rows: DataFrame, versions: DataFrame) -> DataFrame:
     """Documents of their blocks, in order of pos (a document is one value: the form of the JSON files)."""
-    have = [f.name for f in BLOCK if f.name in rows.columns]
+    have = [f for f in FIELDS if f in rows.columns]
     g = rows.groupBy("regulation", "version").agg(F.array_sort(F.collect_list(F.struct("pos", *have))).alias("_b"))
     return versions.join(g, ["regulation", "version"]).withColumn("paragraphs", F.transform("_b", lambda b: F.struct(*[b[c].alias(c) for c in have]))).drop("_b")
 
