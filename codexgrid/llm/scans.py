@@ -166,9 +166,11 @@ def _fit_lines(texts: list[str], common: dict, seed: int = 4) -> Lines:
         words = text.split()
         if len(words) < 12:
             continue
-        width = int(rng.integers(50, 90))
+        width, ragged = int(rng.integers(50, 90)), rng.random() < 0.3
         lines, line = [], ""
         for w in words:
+            if ragged and not line:
+                width = int(rng.integers(15, 90))
             if line and len(line) + len(w) + 1 > width:
                 lines.append((line, 0))
                 line = w
@@ -351,7 +353,7 @@ class Scans:
 
     def __init__(self, rows: DataFrame) -> None:
         base = rows.filter(F.col("block_id").isNotNull()).select("block_id", "number", "title", "text")
-        self.base = base.filter("coalesce(text, title, number) is not null")
+        self.base = base
         spark = rows.sparkSession
         counts = written(_counts(self.base), "scans-counts")
         frequent = [(r.form, r.n) for r in counts.filter((F.col("n") >= FREQUENT) & F.col("form").rlike(r"^(?:[a-z]{2,}|9+(?:\.9+)*)$")).orderBy(F.desc("n"), "form").limit(TRAIN_FORMS).collect()]
