@@ -95,3 +95,19 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def p1_repaired(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scans.repaired_records(_blocks(spark, sf_dir))
+
+
+SQL["p3_found"] = r"""
+WITH r AS (SELECT block_id, any_value(title) AS title, any_value(text) AS text FROM structured WHERE coalesce(type, '') <> 'image' GROUP BY block_id),
+d AS (SELECT block_id, regexp_extract_all(lower(coalesce(title, '') || ' ' || coalesce(text, '')), '[\p{L}\p{N}]+') AS w FROM r),
+t AS (SELECT DISTINCT block_id, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS g FROM (SELECT block_id, w, unnest(range(1, len(w) - 1)) AS i FROM d WHERE len(w) >= 40)),
+n AS (SELECT block_id, count(*) AS n FROM t GROUP BY block_id),
+c AS (SELECT a.block_id AS a, b.block_id AS b, count(*) AS k FROM t a JOIN t b ON a.g = b.g AND a.block_id < b.block_id GROUP BY ALL)
+SELECT c.a AS block_id_a, c.b AS block_id_b FROM c JOIN n x ON x.block_id = c.a JOIN n y ON y.block_id = c.b WHERE c.k * 10 >= 6 * (x.n + y.n - c.k)
+"""
+SQL["p7_found"] = r"""
+WITH i AS (SELECT item_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FROM eval_items), d AS (SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FROM documents),
+gi AS (SELECT DISTINCT item_id, array_to_string(w[k : k + 12], ' ') AS g FROM (SELECT item_id, w, unnest(range(1, len(w) - 11)) AS k FROM i WHERE len(w) >= 13)),
+gd AS (SELECT DISTINCT doc_id, array_to_string(w[k : k + 12], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS k FROM d WHERE len(w) >= 13))
+SELECT DISTINCT doc_id, item_id FROM gd JOIN gi USING (g)
+"""
