@@ -111,43 +111,59 @@ class Lines:
     def __init__(self, furniture: Boosted | None, pair: Boosted | None) -> None:
         self.furniture, self.pair = furniture, pair
 
-    def read(self, text: str, common: dict) -> tuple[str, set[str]]:
-        """The text as one continuous string and the kinds of noise its lines show."""
-        if "\n" not in text:
-            return text, set()
-        kinds: set[str] = set()
-        lines = text.split("\n")
-        longest = max(map(len, lines))
-        filled = [x for x in lines if x.strip()]
-        kept = filled
-        if len(filled) > 1 and self.furniture is not None:
-            x = np.asarray([_line_features(filled[k - 1] if k else "", s, filled[k + 1] if k + 1 < len(filled) else "", longest) for k, s in enumerate(filled)])
-            is_f = self.furniture.predict(x) > 0.5
-            if is_f.all():
-                is_f[:] = False
-            for s, f in zip(filled, is_f):
-                if f:
-                    kinds.add("page_number" if _PAGE.match(s.strip()) else "running_header")
-            kept = [s for s, f in zip(filled, is_f) if not f]
-        out = ""
-        for s in kept:
-            s = s.strip()
-            if not out:
-                out = s
+    def read(self, texts: list[str], common: dict) -> list[tuple[str, set[str]]]:
+        """Each text as one continuous string and the kinds of noise its lines show; all lines are classified at once."""
+        kinds: list[set[str]] = [set() for _ in texts]
+        filled = [[x for x in t.split("\n") if x.strip()] if "\n" in t else None for t in texts]
+        rows, at = [], []
+        for i, (t, lines) in enumerate(zip(texts, filled)):
+            if lines is not None and len(lines) > 1:
+                longest = max(map(len, t.split("\n")))
+                at += [(i, k) for k in range(len(lines))]
+                rows += [_line_features(lines[k - 1] if k else "", s, lines[k + 1] if k + 1 < len(lines) else "", longest) for k, s in enumerate(lines)]
+        furniture: dict[int, set[int]] = {}
+        if rows and self.furniture is not None:
+            for (i, k), p in zip(at, self.furniture.predict(np.asarray(rows))):
+                if p > 0.5:
+                    furniture.setdefault(i, set()).add(k)
+        joints, pair_rows = {}, []
+        for i, lines in enumerate(filled):
+            if lines is None:
                 continue
-            m = re.search(rf"([A-Za-z0-9@+|]+)([{_HYPHEN}])[ \t]*$", out)
-            n = re.match(r"[A-Za-z0-9@+|]+", s)
-            if m and n and self.pair is not None:
-                broken = self.pair.predict(np.asarray([_pair_features(m.group(1), n.group(), m.group(2), common)]))[0] > 0.5
-                if broken:
-                    kinds.add("hyphen_break")
-                    own = form(m.group(1) + n.group()) not in common and f"{m.group(1)}-{n.group()}".lower() in common
-                    out = out[: m.start(2)] + ("-" if own else "") + s
+            drop = furniture.get(i, set())
+            if len(drop) == len(lines):
+                drop = set()
+            for k in drop:
+                kinds[i].add("page_number" if _PAGE.match(lines[k].strip()) else "running_header")
+            kept = filled[i] = [s.strip() for k, s in enumerate(lines) if k not in drop]
+            for k in range(len(kept) - 1):
+                m, n = _DIVIDED.search(kept[k]), _BEGINS.match(kept[k + 1])
+                if m and n:
+                    joints[i, k] = (m.group(1), n.group(), m.group(2))
+                    pair_rows.append(_pair_features(m.group(1), n.group(), m.group(2), common))
+        broken = dict(zip(joints, self.pair.predict(np.asarray(pair_rows)) > 0.5)) if pair_rows and self.pair is not None else {}
+        out = []
+        for i, (t, lines) in enumerate(zip(texts, filled)):
+            if lines is None:
+                out.append((t, kinds[i]))
+                continue
+            joined = lines[0] if lines else ""
+            for k, s in enumerate(lines[1:]):
+                if (i, k) not in broken:
+                    joined += " " + s
+                elif broken[i, k]:
+                    head, tail, mark = joints[i, k]
+                    kinds[i].add("hyphen_break")
+                    own = form(head + tail) not in common and f"{head}-{tail}".lower() in common
+                    joined = joined[: -len(mark)] + ("-" if own else "") + s
                 else:
-                    out = out.rstrip() + s
-            else:
-                out += " " + s
-        return out, kinds
+                    joined += s
+            out.append((joined, kinds[i]))
+        return out
+
+
+_DIVIDED = re.compile(rf"([A-Za-z0-9@+|]+)([{_HYPHEN}])$")
+_BEGINS = re.compile(r"[A-Za-z0-9@+|]+")
 
 
 #: From these furniture is made for the fit; # stands for a number.
@@ -364,29 +380,25 @@ class Scans:
         self.lines = _fit_lines([t.replace("\n", " ") for t in texts], self.common)
         self.shared = spark.sparkContext.broadcast((self.common, self.lines))  # COMMON forms at most
 
-    def _read(self) -> DataFrame:
-        """Per row: the joined text, the kinds of noise seen without the replacements, and the forms not known as sound."""
-        shared = self.shared
+    def _read(self, texts: bool = True) -> DataFrame:
+        """Per row: the joined text, the kinds of noise seen without the replacements, and the forms not known as sound; without ``texts`` only the latter two."""
+        shared, whole = self.shared, texts
 
         def read(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             common, lines = shared.value
             prefixes = {f[:k] for f in common for k in range(1, len(f))}
             for pdf in it:
-                texts, kinds = [], []
-                for t, title, number in zip(pdf["text"], pdf["title"], pdf["number"]):
-                    if t is None:
-                        texts.append("")
-                        k = set()
-                    else:
-                        joined, k = lines.read(t, common)
-                        texts.append(joined)
+                joined_texts, kinds = [], []
+                lined = lines.read([t or "" for t in pdf["text"]], common)
+                for (joined, k), title, number in zip(lined, pdf["title"], pdf["number"]):
+                    joined_texts.append(joined)
                     if title and _title_page(title):
                         k.add("page_number")
                     if number and _number_misread(number):
                         k.add("misread")
                     kinds.append(sorted(k))
                 heads = [LEADER.sub("", t) if t else "" for t in pdf["title"]]
-                flat, row = _token_lists([f"{h}\n{t}" for h, t in zip(heads, texts)])
+                flat, row = _token_lists([f"{h}\n{t}" for h, t in zip(heads, joined_texts)])
                 code, uniques = pd.factorize(flat)
                 fs = [form(u) for u in uniques]
                 unknown = np.asarray([bool(f) and f not in common for f in fs], bool) if len(fs) else np.zeros(0, bool)
@@ -397,14 +409,19 @@ class Scans:
                     # a heading that was cut ends in the beginning of a word, which is no misread one
                     if o and h and (last := form(h.split()[-1]) if h.split() else "") in prefixes and last.isalpha():
                         o.discard(last)
-                yield pd.DataFrame({"block_id": pdf["block_id"], "number": pdf["number"], "title": pdf["title"], "text": pdf["text"], "joined": texts, "kinds": kinds, "odd": [sorted(o) for o in odd]})
+                if not whole:
+                    yield pd.DataFrame({"block_id": pdf["block_id"], "kinds": kinds, "odd": [sorted(o) for o in odd]})
+                    continue
+                yield pd.DataFrame({"block_id": pdf["block_id"], "number": pdf["number"], "title": pdf["title"], "text": pdf["text"], "joined": joined_texts, "kinds": kinds, "odd": [sorted(o) for o in odd]})
 
         kind = self.base.schema["block_id"].dataType.simpleString()
+        if not texts:
+            return self.base.mapInPandas(read, f"block_id {kind}, kinds array<string>, odd array<string>")
         return self.base.mapInPandas(read, f"block_id {kind}, number string, title string, text string, joined string, kinds array<string>, odd array<string>")
 
     def found(self) -> DataFrame:
         """(block_id, noise), each once."""
-        r = self._read().select("block_id", "kinds", "odd")
+        r = self._read(texts=False)
         seen = r.select("block_id", F.explode(F.concat(F.transform("kinds", lambda k: F.concat(F.lit("="), k)), "odd")).alias("x")).distinct()
         seen = written(seen, "scans-seen")  # a few forms a row; both branches read it
         direct = seen.filter(F.col("x").startswith("=")).select("block_id", F.expr("substring(x, 2)").alias("noise"))
