@@ -18,6 +18,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from codexgrid.llm.sampling import bounded
+
 TRAIN_ROWS = 1500
 ROUNDS = 160  # steps of gradient ascent
 ANSWER, REFUSAL, ECHO, FOREIGN, UNFINISHED = range(5)
@@ -274,8 +276,9 @@ def _training(rows: list[tuple[str, str]], seed: int = 1) -> tuple[list, list]:
 
 def fit(rows: DataFrame, prompt: str = "text", answers: tuple[str, ...] = ("translation", "summary_ja")) -> tuple[np.ndarray, np.ndarray] | None:
     """The CRF, fitted on at most TRAIN_ROWS sound-looking pairs in an order by hash; None without any."""
-    good = rows.select(F.col(prompt).alias("p"), F.explode(F.array(*answers)).alias("a")).filter(F.col("p").isNotNull() & F.col("a").rlike(r"[぀-ヿ].*(?:。|：|；及び|\))$") & ~F.col("a").rlike(r"[A-Za-z ]{40}|ません|ください"))
-    got = [(r.p, r.a) for r in good.orderBy(F.xxhash64("p", "a")).limit(TRAIN_ROWS).collect()]
+    both = rows.select(F.col(prompt).alias("p"), F.explode(F.array(*answers)).alias("a")).filter("p is not null and a is not null")
+    sound = F.col("a").rlike(r"[぀-ヿ].*(?:。|：|；及び|\))$") & ~F.col("a").rlike(r"[A-Za-z ]{40}|ません|ください")
+    got = [(r.p, r.a) for r in bounded(both, TRAIN_ROWS, sound)]
     if not got:
         return None
     return _fit(*_training(got))

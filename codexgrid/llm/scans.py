@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from codexgrid.llm.boosting import Boosted
+from codexgrid.llm.sampling import bounded
 from codexgrid.plans.materialize import written
 
 TRAIN_ROWS = 800
@@ -355,6 +356,18 @@ def _counts(rows: DataFrame) -> DataFrame:
     return body.mapInPandas(count, "form string, n long").groupBy("form").agg(F.sum("n").alias("n"))
 
 
+def _most_frequent(counts: DataFrame, most: int) -> DataFrame:
+    """The forms from the least power of two on at which there are no more than ``most``."""
+    by_power = {r.p: r.c for r in counts.groupBy(F.floor(F.log2("n")).alias("p")).agg(F.count("*").alias("c")).collect()}
+    least, have = max(by_power, default=0) + 1, 0
+    for p in sorted(by_power, reverse=True):
+        have += by_power[p]
+        if have > most:
+            break
+        least = p
+    return counts.filter(F.col("n") >= 2**least)
+
+
 def _number_misread(number: str) -> bool:
     parts = number.strip().strip(".").split(".")
     return bool(re.search(r"[A-Za-z|@+$]", number)) and all(re.fullmatch(r"[0-9OoQIlLiSsBbZz|]+", p) for p in parts) and any(re.search(r"[A-Za-z|]", p) for p in parts)
@@ -372,11 +385,12 @@ class Scans:
         self.base = base
         spark = rows.sparkSession
         counts = written(_counts(self.base), "scans-counts")
-        frequent = [(r.form, r.n) for r in counts.filter((F.col("n") >= FREQUENT) & F.col("form").rlike(r"^(?:[a-z]{2,}|9+(?:\.9+)*)$")).orderBy(F.desc("n"), "form").limit(TRAIN_FORMS).collect()]
+        usual = counts.filter((F.col("n") >= FREQUENT) & F.col("form").rlike(r"^(?:[a-z]{2,}|9+(?:\.9+)*)$"))
+        frequent = [(r.form, r.n) for r in _most_frequent(usual, COMMON).orderBy(F.desc("n"), "form").limit(TRAIN_FORMS).collect()]
         self.replacements = written(_replacements(counts, _fit_ranker(frequent)), "scans-replacements")
-        sound = counts.join(self.replacements, "form", "left_anti").orderBy(F.desc("n"), "form").limit(COMMON)
+        sound = _most_frequent(counts.join(self.replacements, "form", "left_anti"), COMMON)
         self.common = {r.form: r.n for r in sound.collect()}
-        texts = [r.text for r in self.base.filter("text is not null").orderBy(F.xxhash64("text", "block_id")).limit(TRAIN_ROWS).collect()]
+        texts = [r.text for r in bounded(self.base.filter("text is not null").select("text"), TRAIN_ROWS)]
         self.lines = _fit_lines([t.replace("\n", " ") for t in texts], self.common)
         self.shared = spark.sparkContext.broadcast((self.common, self.lines))  # COMMON forms at most
 
