@@ -65,10 +65,11 @@ def page_model(rows: DataFrame, pending: DataFrame, glossary: DataFrame) -> Data
 
     Inserted additions are never noise. One row a block; the sink orders by document and pos.
     """
-    d = proposals.inserted(proposals.attached(rows, pending), pending)
+    d = written(proposals.inserted(proposals.attached(rows, pending), pending), "page-rows")
+    last = written(structure.last_chapters(d), "page-chapters")
     d = noise.marked(d).withColumn("nav_hidden", F.col("nav_hidden") & ~F.col("proposal_only"))
     d = written(structure.in_annex(written(d, "page-noise")), "page-annex")
-    d = written(structure.annex_ids(d), "page-ids")
+    d = written(structure.annex_ids(d, last), "page-ids")
     d = written(structure.annex_parts(written(structure.annex_page_noise(d), "page-footnotes")), "page-parts")
     d = structure.first_occurrence(d)
     refs = references.resolved(d).groupBy(*DOC, "pos").agg(F.array_sort(F.collect_list(F.struct("ref_no", "number", "annex", "target_uid", "target_summary"))).alias("refs"))

@@ -12,6 +12,7 @@ from codexgrid.operators import diff as D
 from codexgrid.operators import enrich, glossary, noise, proposals, references, report, segment, structure
 from codexgrid.operators.ordered import DOC
 from codexgrid.operators.snapshots import snapshot_changes
+from codexgrid.plans.materialize import written
 from codexgrid.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -170,8 +171,9 @@ def annex_boundary(spark, sf_dir):
 
 @register("annex_numbers")
 def annex_numbers(spark, sf_dir):
-    d = blocks(spark, sf_dir).select(*DOC, "pos", "type", "number", "level", "title", "text", "annex_id")
-    return structure.annex_ids(structure.in_annex(d)).select(*DOC, "pos", "annex", "in_annex")
+    d = written(blocks(spark, sf_dir).select(*DOC, "pos", "type", "number", "level", "title", "text", "annex_id"), "annex-blocks")
+    last = written(structure.last_chapters(d), "annex-chapters")
+    return structure.annex_ids(structure.in_annex(d), last).select(*DOC, "pos", "annex", "in_annex")
 
 
 @register("annex_selection", f"""{BLOCKS} SELECT regulation, version, count(*) AS n FROM b WHERE annex_id IS NOT NULL GROUP BY ALL""")
@@ -186,8 +188,9 @@ def annex_restart_rows(spark, sf_dir):
 
 @register("annex_parts")
 def annex_parts(spark, sf_dir):
-    d = blocks(spark, sf_dir)
-    d = structure.annex_ids(structure.in_annex(d.select(*DOC, "pos", "type", "number", "level", "parent", "title", "text", "annex_id")))
+    d = written(blocks(spark, sf_dir).select(*DOC, "pos", "type", "number", "level", "parent", "title", "text", "annex_id"), "annex-blocks")
+    last = written(structure.last_chapters(d), "annex-chapters")
+    d = structure.annex_ids(structure.in_annex(d), last)
     return structure.annex_parts(d).select(*DOC, "pos", "part_idx", "part_label", "part_prefix", "part_first", "part_header", "multiple_parts", "display_number")
 
 

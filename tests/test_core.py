@@ -100,6 +100,20 @@ def test_annexes(spark):
     assert [r.part_idx for r in parts] == [0] * len(parts) and parts[0].part_first
 
 
+def test_last_chapter_of_each_document(spark):
+    body = "body " * 20
+    short = ["1", "1.1", "2", "3", "3.1", "1", "2", "3", "4", "5", "1", "2"]  # three chapters, annexes of five and two
+    long = [x for i in range(1, 15) for x in (str(i), f"{i}.1")] + ["1", "2", "1", "2"]  # fourteen chapters, two annexes
+    rows = [row(i, n, text=body) for i, n in enumerate(short)] + [row(i, n, text=body, regulation="R2") for i, n in enumerate(long)] + [row(0, "A", text=body, regulation="R3")]
+    df = frame(spark, rows)
+    assert {(r.regulation, r.last_chapter) for r in structure.last_chapters(df).collect()} == {("R1", 3), ("R2", 14)}
+    last = structure.last_chapters(df)
+    assert {r.regulation: r.body_end for r in structure.body_end(df, last).collect()} == {"R1": 7, "R2": 27}
+    ids = {(r.regulation, r.pos): r.annex for r in structure.annex_ids(structure.in_annex(df), last).collect()}
+    assert [ids["R1", i] for i in (8, 9, 10, 11)] == [1, 1, 2, 2]
+    assert [ids["R2", i] for i in range(26, 32)] == [None, None, 1, 1, 2, 2]
+
+
 def test_parts_by_letter_and_repetition(spark):
     base = [row(0, "A", "Part A", annex_id=3), row(1, "1", annex_id=3), row(2, "B", "Part B", annex_id=3), row(3, "1", annex_id=3), row(4, "1", annex_id=4), row(5, "2", annex_id=4), row(6, "1", annex_id=4)]
     df = frame(spark, base).withColumn("annex", F.col("annex_id")).withColumn("in_annex", F.lit(True))
