@@ -60,22 +60,33 @@ def subtree(rows: DataFrame, number: str) -> DataFrame:
     return rows.filter(F.startswith(B.text0(F.col("number")), F.lit(number + ".")))
 
 
-def page_model(rows: DataFrame, pending: DataFrame, glossary: DataFrame) -> DataFrame:
-    """The rows of pages, annotated in the order that later steps need: noise, annexes, parts, references, first rows, terms.
+def _annotated(d: DataFrame, terms: DataFrame, text: str, term: str, ignore_case: bool, name: str) -> DataFrame:
+    """``d`` with ``name``: the column ``text`` as escaped HTML with its glossary terms marked."""
+    found = G.matches(d.filter("type is null or type <> 'image'"), terms, text, term, ignore_case, keys=(*DOC, "pos"))
+    spans = found.groupBy(*DOC, "pos").agg(F.array_sort(F.collect_list(F.struct("start", "end", "term"))).alias("_spans"))
+    shown = B.text0(F.col(text))
+    marked = F.when(F.col("_spans").isNull(), B.escape_html(shown)).otherwise(G.annotated(shown, F.col("_spans")))
+    return d.join(spans, [*DOC, "pos"], "left").withColumn(name, B.inline_list(marked)).drop("_spans")
 
-    Inserted additions are never noise. One row a block; the sink orders by document and pos.
+
+def page_model(rows: DataFrame, pending: DataFrame, glossary: DataFrame, versions: DataFrame | None = None) -> DataFrame:
+    """The rows of pages, annotated in the order that later steps need: contents, noise, annexes, parts, references, first rows, terms.
+
+    Inserted additions are never noise. ``versions`` gives titles of annexes
+    (annex_titles). One row a block; the sink orders by document and pos.
     """
     d = written(proposals.inserted(proposals.attached(rows, pending), pending), "page-rows")
     last = written(structure.last_chapters(d), "page-chapters")
-    d = noise.marked(d).withColumn("nav_hidden", F.col("nav_hidden") & ~F.col("proposal_only"))
+    contents = written(structure.contents_rows(d, versions), "page-contents")
+    d = noise.marked(d).join(contents.withColumn("_contents", F.lit(True)), [*DOC, "pos"], "left")
+    d = d.withColumn("nav_hidden", (F.col("nav_hidden") | F.coalesce("_contents", F.lit(False))) & ~F.col("proposal_only")).drop("_contents")
     d = written(structure.in_annex(written(d, "page-noise")), "page-annex")
     d = written(structure.annex_ids(d, last), "page-ids")
     d = written(structure.annex_parts(written(structure.annex_page_noise(d), "page-footnotes")), "page-parts")
     d = structure.first_occurrence(d)
     refs = references.resolved(d).groupBy(*DOC, "pos").agg(F.array_sort(F.collect_list(F.struct("ref_no", "number", "annex", "target_uid", "target_summary"))).alias("refs"))
-    terms = G.matches(d.filter("type is null or type <> 'image'"), G.english_terms(glossary), keys=(*DOC, "pos"))
-    spans = terms.groupBy(*DOC, "pos").agg(F.array_sort(F.collect_list(F.struct("start", "end", "term"))).alias("_spans"))
-    d = d.join(refs, [*DOC, "pos"], "left").join(spans, [*DOC, "pos"], "left")
-    text = B.text0(F.col("text"))
-    shown = F.when(F.col("_spans").isNull(), B.escape_html(text)).otherwise(G.annotated(text, F.col("_spans")))
-    return d.withColumn("text_annotated", B.inline_list(shown)).withColumn("summary_ja_short", B.short_summary(B.text0(F.col("summary_ja")))).drop("_spans")
+    d = written(d.join(refs, [*DOC, "pos"], "left"), "page-refs")
+    d = _annotated(d, G.english_terms(glossary), "text", "term", True, "text_annotated")
+    d = _annotated(d, G.japanese_terms(glossary), "translation", "ja", False, "translation_annotated")
+    told = (B.kind(F.col("type")) != "image") & (B.text0(F.col("translation")) != "")
+    return d.withColumn("translation_annotated", F.when(told, F.col("translation_annotated"))).withColumn("summary_ja_short", B.short_summary(B.text0(F.col("summary_ja"))))

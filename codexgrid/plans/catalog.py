@@ -418,5 +418,5 @@ def subtree(spark, sf_dir):
 
 @register("page_model")
 def page_model(spark, sf_dir):
-    m = report.page_model(blocks(spark, sf_dir), pending(spark, sf_dir), table(spark, sf_dir, "glossary"))
-    return m.select(*DOC, "pos", "uid", "display_number", "annex", "part_label", "nav_hidden", "nav_only_hidden", "first_occ", F.size(F.coalesce("refs", F.array())).alias("n_refs"), "text_annotated", "summary_ja_short")
+    m = report.page_model(blocks(spark, sf_dir), pending(spark, sf_dir), table(spark, sf_dir, "glossary"), versions(spark, sf_dir))
+    return m.select(*DOC, "pos", "uid", "display_number", "annex", "part_label", "nav_hidden", "nav_only_hidden", "first_occ", F.size(F.coalesce("refs", F.array())).alias("n_refs"), "text_annotated", "translation_annotated", "summary_ja_short")

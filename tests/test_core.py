@@ -223,6 +223,22 @@ def test_proposals(spark):
     assert [r.uid for r in got] == ["u0", "PROPOSAL-3", "u1"] and got[1].title == "late" and got[1].status == "proposal" and [r.pos for r in got] == [0, 1, 2]
 
 
+def test_page_hides_contents_and_marks_japanese(spark):
+    p = spark.createDataFrame([], "id string, regulation string, type string, target_uid string, anchor_uid string, number string, title string, text_new string, justification string, source_date string, source_label string, loaded_at timestamp")
+    g = spark.createDataFrame([("R1", "brake", "制動", "", "")], "regulation string, term string, ja string, description string, paragraph_ref string")
+    names = spark.createDataFrame([("R1", "v", {"5": ("Five", "")}), ("R2", "v", {"5": ("Five", "")})], "regulation string, version string, annex_titles map<string, struct<title string, title_ja string>>")
+    titles = ["Scope", "Needs", "Annexes", "Form", "Marks", "Preamble", "Purpose", "Brakes"]
+    doc = [row(i, n, t, t if i in (2, 3, 4) else f"{t} of the brake {'word ' * 20}", uid=f"u{i}") for i, (n, t) in enumerate(zip(["1", "2", "47", "1", "2", "3", "1", "1.1"], titles))]
+    doc[7]["translation"] = "車両の<制動>"
+    # the annex ids of the second document contradict its table of contents
+    rows = frame(spark, doc + [d | {"regulation": "R2", "annex_id": 5 if d["pos"] == 6 else None} for d in doc]).withColumn("modified", F.lit(False))
+    got = report.page_model(rows, p, g, names).collect()
+    assert {(r.regulation, r.pos) for r in got if r.nav_hidden} == {("R1", 2), ("R1", 3), ("R1", 4), ("R2", 2)}
+    assert {(r.regulation, r.annex) for r in structure.annex_tree(rows, names).collect()} == {("R1", 1), ("R1", 2), ("R1", 3), ("R2", 5)}
+    ja = {(r.regulation, r.pos): r.translation_annotated for r in got}
+    assert ja["R1", 7] == '車両の&lt;<span class="term" data-term="制動">制動</span>&gt;' and ja["R1", 6] is None
+
+
 def test_enrichment(spark):
     rows = frame(spark, [row(i, "1", text=f"t{i}") for i in range(25)])
     b = enrich.batches(enrich.body_targets(rows), 10).groupBy("batch_no").count().orderBy("batch_no").collect()
