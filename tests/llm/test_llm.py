@@ -177,6 +177,20 @@ def test_leakage_equals_brute_force(spark):
     assert leakage.leaked_passages(spark.createDataFrame(docs, "doc_id long, text string, words int"), empty).count() == 0
 
 
+def test_paraphrases_begin_anywhere(spark):
+    rng = random.Random(8)
+    items = [(i, " ".join([str(100 + i), *(f"w{rng.randrange(400)}" for _ in range(24)), str(200 + i)])) for i in range(20)]
+    docs = []
+    for d in range(39):
+        # every third word differs: 18 of 26 are kept, no run reaches 13
+        told = [f"x{rng.randrange(900)}" if k % 3 == 2 and k < 24 else w for k, w in enumerate(items[d % 20][1].split())]
+        before = [f"w{rng.randrange(400)}" for _ in range(39 + d % 13)]
+        docs.append((d, " ".join(before + told + [f"w{rng.randrange(400)}" for _ in range(40)])))
+    docs.append((99, " ".join(told)))  # a text of its own, with nothing beside
+    found = leakage.leaked_passages(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id int, text string")).filter("kind = 'paraphrase'")
+    assert {(r.doc_id, r.item_id) for r in found.collect()} == {(d, d % 20) for d in range(39)} | {(99, 38 % 20)}
+
+
 def test_word_checks():
     run, lcs = leakage._checks(np.asarray([[1, 2, 3, 9, 4, 5]]), np.asarray([[7, 1, 2, 3, 4, 5, -2]]))
     assert run[0] == 3 and lcs[0] == 5
