@@ -192,8 +192,44 @@ def test_paraphrases_begin_anywhere(spark):
 
 
 def test_word_checks():
-    run, lcs = leakage._checks(np.asarray([[1, 2, 3, 9, 4, 5]]), np.asarray([[7, 1, 2, 3, 4, 5, -2]]))
-    assert run[0] == 3 and lcs[0] == 5
+    rng = np.random.default_rng(3)
+    section = rng.integers(0, 9, 100)
+    space = leakage._prepared([(1, " ".join(f"w{x}" for x in section))])
+    words = rng.integers(0, 12, (200, 26))
+    words[:20, 3:20] = section[np.arange(17) + rng.integers(0, 80, 20)[:, None]]
+    h = np.asarray([leakage.W.hashed([f"w{x}"])[0][0] for x in range(12)])
+    m = space.masks[space.at[0][space.codes(h)[words]]]
+
+    def naive(ws):
+        run = lcs = 0
+        table = np.zeros((27, 101), int)
+        runs = np.zeros((27, 101), int)
+        for p, w in enumerate(ws, 1):
+            for q, x in enumerate(section, 1):
+                runs[p, q] = runs[p - 1, q - 1] + 1 if w == x else 0
+                table[p, q] = table[p - 1, q - 1] + 1 if w == x else max(table[p - 1, q], table[p, q - 1])
+        return runs.max(), table[-1, -1]
+
+    want = [naive(ws) for ws in words]
+    assert leakage._lcs(m).tolist() == [b for _, b in want]
+    assert leakage._longest_run(m).tolist() == [a for a, _ in want] and leakage._has_run(m).tolist() == [a >= 13 for a, _ in want]
+
+
+def test_hashed_words():
+    from codexgrid.llm import words
+
+    texts = ["", "A b_c é漢字 12.5", "x" * 300_000 + " y", " ", "İstanbul ΣΑΣ"]
+    h, n = words.hashed(texts)
+    flat = [w for t in texts for w in WORDS.findall(t.lower())]
+    assert n.tolist() == [len(WORDS.findall(t.lower())) for t in texts] and len(set(h.tolist())) == len(set(flat)) == len(flat)
+
+
+def test_long_items(spark):
+    rng = random.Random(5)
+    long = [f"w{rng.randrange(3000)}" for _ in range(700)]
+    items = spark.createDataFrame([(1, " ".join(long)), (2, "w1 w2")], "item_id int, text string")
+    docs = spark.createDataFrame([(k, " ".join([f"z{j}" for j in range(40)] + long[a : a + 13] + ["w1", "q"])) for k, a in enumerate(range(0, 687, 7))] + [(500, " ".join(long[:12]))], "doc_id long, text string")
+    assert {(r.doc_id, r.item_id, r.kind) for r in leakage.leaked_passages(docs, items).collect()} == {(k, 1, "verbatim") for k in range(len(range(0, 687, 7)))}
 
 
 # pairs ----------------------------------------------------------------------------------------------------------------
