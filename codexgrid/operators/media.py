@@ -34,15 +34,27 @@ def outside(items: DataFrame, media: DataFrame, margin: float) -> DataFrame:
     return items.join(m, (F.col("doc") == F.col("_d")) & (F.col("page") == F.col("_p")) & B.overlaps(F.col("bbox"), F.col("_b"), margin), "left_anti")
 
 
+#: Fixed value: what names a figure, table or equation.
+CAPTION = r"(?i)(?:Figure|Fig\.?|Table|Tbl\.?|Equation|Eq\.?)\s*\d*\.?\d*"
+
+
 def near_text(media: DataFrame, text: DataFrame, below: bool, band: float = 48.0, side: float = 10.0, limit: int = 200) -> DataFrame:
-    """Media with ``near``: the text in the band below (caption) or above (label) that begins with Figure or Table and a number."""
+    """Media with ``near``: the caption in the band below, or the label in the band above.
+
+    The blocks of text that lie in the band are read as one, from top to bottom.
+    If it names a figure, table or equation anywhere, the caption is all of it
+    (``limit`` characters) and the label the name with its number alone.
+    """
     t = text.select(F.col("doc").alias("_d"), F.col("page").alias("_p"), F.col("bbox").alias("_b"), F.col("text").alias("_t"))
     b, m = F.col("_b"), F.col("bbox")
     inside = (b[0] >= m[0] - side) & (b[2] <= m[2] + side)
-    place = ((b[1] >= m[3]) & (b[1] <= m[3] + band)) if below else ((b[3] <= m[1]) & (b[3] >= m[1] - band))
-    hit = media.join(t, (F.col("doc") == F.col("_d")) & (F.col("page") == F.col("_p")) & inside & place & F.col("_t").rlike(r"(?i)^\s*(?:figure|table|fig\.)\s*\d+"))
-    best = hit.groupBy("doc", "page", "bbox").agg(F.min_by("_t", F.abs(b[1] - m[1])).alias("near"))
-    return media.join(best.withColumn("near", F.substring(F.trim("near"), 1, limit)), ["doc", "page", "bbox"], "left")
+    place = ((b[1] >= m[3]) & (b[3] <= m[3] + band)) if below else ((b[3] <= m[1]) & (b[1] >= F.greatest(m[1] - band, F.lit(0.0))))
+    hit = media.join(t, (F.col("doc") == F.col("_d")) & (F.col("page") == F.col("_p")) & inside & place & F.col("_t").isNotNull())
+    lines = F.array_sort(F.collect_list(F.struct(b[1].alias("y"), b[0].alias("x"), F.col("_t").alias("t"))))  # of one page
+    read = hit.groupBy("doc", "page", "bbox").agg(B.strip(F.array_join(F.transform(lines, lambda x: x["t"]), "\n")).alias("_r"))
+    found = F.regexp_extract("_r", CAPTION, 0)
+    near = F.when(found != "", F.substring("_r", 1, limit) if below else found)
+    return media.join(read.select("doc", "page", "bbox", near.alias("near")), ["doc", "page", "bbox"], "left")
 
 
 def reading_order(text: DataFrame, media: DataFrame) -> DataFrame:

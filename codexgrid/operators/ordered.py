@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from codexgrid.plans.materialize import written
 
 CHUNK = 4096
-JOINS = 2  # in a plan from which on it is cut
 DOC = ("regulation", "version")
 
 
@@ -29,13 +28,19 @@ class Run:
     own: bool = False
 
 
-def running(df: DataFrame, runs: dict[str, Run], doc: tuple[str, ...] = DOC, pos: Column | None = None) -> DataFrame:
-    """``df`` with a column for each run. ``pos`` orders a document (default column pos; -pos runs backwards)."""
-    at = F.col("pos") if pos is None else pos
-    # the rows are read twice below; a long plan is cut first, or its steps would double with every call
-    if df._jdf.queryExecution().analyzed().toString().count("Join ") >= JOINS:
+def running(df: DataFrame, runs: dict[str, Run], doc: tuple[str, ...] = DOC, pos: Column | None = None, tie: Column | None = None, cut: bool = False) -> DataFrame:
+    """``df`` with a column for each run.
+
+    ``pos`` orders a document and is what chunks are cut from (default column
+    pos; -pos runs backwards); ``tie`` orders rows of equal ``pos``, which share
+    a chunk. The rows are read twice: ``cut`` writes them first, so that a chain
+    of steps doesn't double with every call.
+    """
+    if cut:
         df = written(df, "ordered")
-    df = df.withColumn("_at", at.cast("long")).withColumn("_chunk", F.floor(F.col("_at") / CHUNK))
+    at = F.col("pos") if pos is None else pos
+    df = df.withColumn("_at", F.struct(at.cast("long").alias("p"), (F.lit(0) if tie is None else tie).cast("long").alias("t")))
+    df = df.withColumn("_chunk", F.floor(F.col("_at.p") / CHUNK))
     value = {n: F.struct(r.value.alias("v")) if r.kind == "lag" else r.value for n, r in runs.items()}
 
     def total(n: str, r: Run) -> Column:
@@ -70,7 +75,7 @@ def running(df: DataFrame, runs: dict[str, Run], doc: tuple[str, ...] = DOC, pos
     return joined.drop("_at", "_chunk", "_k_chunk", *(f"_k_{d}" for d in doc), *(f"_c_{n}" for n in runs))
 
 
-def renumbered(df: DataFrame, doc: tuple[str, ...] = DOC, order: Column | None = None, name: str = "pos") -> DataFrame:
-    """``df`` with consecutive positions from 0 in the order given, chunk by chunk (``order`` is a number)."""
-    one = running(df, {"_n": Run("sum", F.lit(1))}, doc, order)
+def renumbered(df: DataFrame, doc: tuple[str, ...] = DOC, order: Column | None = None, tie: Column | None = None, name: str = "pos", cut: bool = False) -> DataFrame:
+    """``df`` with consecutive positions from 0 by ``order``, then ``tie``, chunk by chunk."""
+    one = running(df, {"_n": Run("sum", F.lit(1))}, doc, order, tie, cut)
     return one.withColumn(name, F.col("_n").cast("int")).drop("_n")

@@ -32,7 +32,6 @@ def inserted(rows: DataFrame, proposals: DataFrame) -> DataFrame:
     new = anchors.select(*DOC, F.col("pos").alias("_anchor"), F.posexplode("_l").alias("_k", "_x"))
     values = {"uid": F.concat(F.lit("PROPOSAL-"), F.col("_x._id")), "number": F.coalesce("_x._number", F.lit("")), "title": F.coalesce("_x._title", F.lit("")), "text": F.lit(""), "level": F.col("_x.level"), "parent": F.col("_x.parent"), "type": F.lit("paragraph"), "status": F.lit("proposal"), "modified": F.lit(False)}
     keep = [f for f in rows.schema if f.name not in (*DOC, "pos")]
-    virtual = new.select(*DOC, (F.col("_anchor").cast("double") + (F.col("_k") + 1) / 1e6).alias("_order"), *((values[f.name] if f.name in values else F.lit(None)).cast(f.dataType).alias(f.name) for f in keep), F.lit(True).alias("proposal_only"))
-    real = rows.select(*DOC, F.col("pos").cast("double").alias("_order"), *(f.name for f in keep), F.lit(False).alias("proposal_only"))
-    both = real.unionByName(virtual).withColumn("_order", (F.col("_order") * 1e6).cast("long"))
-    return renumbered(both, order=F.col("_order")).drop("_order")
+    virtual = new.select(*DOC, F.col("_anchor").alias("_order"), (F.col("_k") + 1).alias("_tie"), *((values[f.name] if f.name in values else F.lit(None)).cast(f.dataType).alias(f.name) for f in keep), F.lit(True).alias("proposal_only"))
+    real = rows.select(*DOC, F.col("pos").alias("_order"), F.lit(0).alias("_tie"), *(f.name for f in keep), F.lit(False).alias("proposal_only"))
+    return renumbered(real.unionByName(virtual), order=F.col("_order"), tie=F.col("_tie"), cut=True).drop("_order", "_tie")

@@ -5,6 +5,8 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -12,9 +14,16 @@ _written: list[tuple[SparkSession, str]] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; a local one only where the session has none (tests)."""
+    """The folder in spark.checkpoint.dir.
+
+    A session without one gets a folder of this machine, but only if all its
+    executors are on it (local mode); on a cluster it is an error, as executors
+    would write to disks that the others can't read.
+    """
     conf = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if not conf:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         conf = f"file://{tempfile.gettempdir()}/codexgrid-checkpoint"
         spark.conf.set("spark.checkpoint.dir", conf)
     return conf.rstrip("/")
@@ -29,9 +38,9 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def drop_written() -> None:
-    """Delete the tables of ``written`` (also at the end of the driver)."""
-    while _written:
+def drop_written(keep: int = 0) -> None:
+    """Delete the tables of ``written`` but for the first ``keep`` (all at the end of the driver)."""
+    while len(_written) > keep:
         spark, path = _written.pop()
         try:
             jvm = spark.sparkContext._jvm
@@ -41,4 +50,14 @@ def drop_written() -> None:
             pass
 
 
+@contextmanager
+def scope() -> Iterator[None]:
+    """Deletes at its end what was written inside; results that read those tables must have been used up by then."""
+    have = len(_written)
+    try:
+        yield
+    finally:
+        drop_written(have)
+
+
 atexit.register(drop_written)
