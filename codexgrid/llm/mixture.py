@@ -1,10 +1,12 @@
 """Mixing sources to target weights (problem 8): weighted sampling to token budgets.
 
-Within a source every text has an Efraimidis-Spirakis key u**(1/w), u from a
-seeded hash of the text and w its quality weight. Whole epochs of a source come
-first; the rest of its budget takes the texts with the greatest keys while
-their tokens fit, then, of the texts no larger than what is left, again. The prefix sums run in key ranges: token totals of ranges are
-summed first, so no window holds more than one range of one source.
+Within a source every text has an Efraimidis-Spirakis key -ln(u)/w, u from a
+seeded hash of the text and w its quality weight; the least keys come first.
+Whole epochs of a source come first; the rest of its budget takes the texts in
+order of their keys, each if its tokens still fit. The prefix sums run in key
+ranges of about ``TEXTS_PER_RANGE`` texts, cut where the keys really lie: token
+totals of ranges are summed first, so no window holds more than one range of one
+source.
 """
 
 from __future__ import annotations
@@ -20,7 +22,7 @@ from codexgrid.llm import tokens
 from codexgrid.plans.materialize import written
 
 TEXTS_PER_RANGE = 20_000
-ROUNDS = 3  # passes over what is left of a budget after a text that did not fit
+BINS = 64  # of a doubling of the key; a source has some four thousand at most
 
 
 def quality(text: str = "text"):
@@ -41,7 +43,7 @@ def _sized(docs: DataFrame, listed: DataFrame, seed: int, vocabulary: str) -> Da
 
     d = docs.filter(F.col("text").isNotNull() & (F.col("text") != "") & F.col("source").isNotNull()).join(listed.select("source"), "source", "left_semi")
     u = (F.shiftrightunsigned(F.xxhash64(F.lit(seed), "text"), 11) + 0.5) / float(1 << 53)
-    d = d.select("doc_id", "source", F.xxhash64("text").alias("h1"), F.xxhash64(F.lit(7), "text").alias("h2"), F.pow(u, 1.0 / quality()).alias("key"), size("text").alias("n_tokens"))
+    d = d.select("doc_id", "source", F.xxhash64("text").alias("h1"), F.xxhash64(F.lit(7), "text").alias("h2"), (-F.log(u) / quality()).alias("key"), size("text").alias("n_tokens"))
     # a text belongs to one source and one id, however often it is stored
     return d.groupBy("h1", "h2").agg(F.min(F.struct("source", "doc_id", "key", "n_tokens")).alias("x")).select("x.source", "x.doc_id", "x.key", "x.n_tokens")
 
@@ -75,25 +77,40 @@ def mixture(docs: DataFrame, targets: DataFrame, total: float | None = None, see
     by id; an empty table yields no row; other columns are ignored.
     """
     sized, b = _plan(docs, targets, total, seed, vocabulary)
-    s = sized.join(b.select("source", "n_available", "epochs", "rest"), "source")
-    ranges = F.greatest(F.lit(1), F.ceil(F.col("n_available") / float(TEXTS_PER_RANGE)))
-    s = s.withColumn("slot", F.floor((1 - F.col("key")) * ranges)).withColumn("taken", F.lit(False))  # greatest keys first
-    for k in range(ROUNDS):
-        s = written(_take(s), f"mixture-round-{k}")  # a few numbers a text; keeps each round's plan to itself
-    return s.select("doc_id", "source", "n_tokens", (F.col("epochs") + F.col("taken").cast("int")).cast("int").alias("uses")).filter("uses > 0")
+    s = _ranged(sized.join(b.select("source", "epochs", "rest"), "source"))
+    every = s.filter("epochs > 0").select("source", "doc_id", "n_tokens", F.col("epochs").alias("uses"))
+    left, more = s.filter("n_tokens <= rest").drop("epochs"), None
+    # a text that doesn't fit ends a prefix; those that still fit what is left go on, until none does
+    while True:
+        step = written(_take(left), "mixture-step")  # a few numbers a text; keeps each step's plan to itself
+        now = step.filter("now").select("source", "doc_id", "n_tokens", F.lit(1).cast("long").alias("uses"))
+        more = now if more is None else more.unionByName(now)
+        left = step.filter("not now and n_tokens <= rest").drop("now")
+        if left.isEmpty():
+            break
+    out = every.unionByName(more).groupBy("source", "doc_id", "n_tokens").agg(F.sum("uses").cast("int").alias("uses"))
+    return out.select("doc_id", "source", "n_tokens", "uses")
+
+
+def _ranged(s: DataFrame) -> DataFrame:
+    """``s`` with ``slot``: ranges of keys, in order, of about TEXTS_PER_RANGE texts of a source at most."""
+    bin_ = F.floor(F.log2("key") * BINS)
+    s = s.withColumn("bin", bin_)
+    parts = s.groupBy("source", "bin").agg(F.ceil(F.count("*") / float(TEXTS_PER_RANGE)).alias("parts"))
+    s = s.join(parts, ["source", "bin"])
+    low, high = F.pow(F.lit(2.0), F.col("bin") / BINS), F.pow(F.lit(2.0), (F.col("bin") + 1) / BINS)
+    inside = F.least(F.greatest(F.floor((F.col("key") - low) / (high - low) * F.col("parts")), F.lit(0)), F.col("parts") - 1)  # keys lie evenly in so narrow a bin
+    return s.withColumn("slot", F.struct("bin", inside.alias("part"))).drop("bin", "parts")
 
 
 def _take(s: DataFrame) -> DataFrame:
-    """Take the texts with the greatest keys, of those not larger than what is left of their source's ``rest``, while they fit."""
-    free = ~F.col("taken") & (F.col("n_tokens") <= F.col("rest"))
+    """``s`` with ``now``: the texts of the least keys of their source whose sum fits its ``rest``, which is reduced by them."""
     before = Window.partitionBy("source").orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
-    slots = s.groupBy("source", "slot").agg(F.sum(F.when(free, F.col("n_tokens")).otherwise(0)).alias("n")).select("source", "slot", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("ahead"))
-    inside = Window.partitionBy("source", "slot").orderBy(F.desc("key"), "doc_id").rowsBetween(Window.unboundedPreceding, 0)
-    s = s.join(slots, ["source", "slot"]).withColumn("sum", F.col("ahead") + F.sum(F.when(free, F.col("n_tokens")).otherwise(0)).over(inside))
-    s = s.withColumn("now", free & (F.col("sum") <= F.col("rest")))
+    slots = s.groupBy("source", "slot").agg(F.sum("n_tokens").alias("n")).select("source", "slot", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("ahead"))
+    inside = Window.partitionBy("source", "slot").orderBy("key", "doc_id").rowsBetween(Window.unboundedPreceding, 0)
+    s = s.join(slots, ["source", "slot"]).withColumn("sum", F.col("ahead") + F.sum("n_tokens").over(inside)).withColumn("now", F.col("sum") <= F.col("rest"))
     gone = s.groupBy("source").agg(F.sum(F.when(F.col("now"), F.col("n_tokens")).otherwise(0)).alias("gone"))
-    s = s.join(gone, "source").withColumn("rest", F.col("rest") - F.col("gone"))
-    return s.withColumn("taken", F.col("taken") | F.col("now")).drop("ahead", "sum", "now", "gone")
+    return s.join(gone, "source").withColumn("rest", F.col("rest") - F.col("gone")).drop("ahead", "sum", "gone")
 
 
 def mixture_report(docs: DataFrame, targets: DataFrame, total: float | None = None, seed: int = 11, vocabulary: str = tokens.VOCABULARY) -> DataFrame:

@@ -144,6 +144,23 @@ def test_mixture(spark):
     assert mixture.mixture(docs.limit(0), targets).count() == 0
 
 
+def test_mixture_fills_and_ranges(spark, monkeypatch):
+    monkeypatch.setattr(mixture, "TEXTS_PER_RANGE", 40)
+    rng = random.Random(4)
+    docs = spark.createDataFrame([(i, " ".join(rng.choice("abcdefgh") for _ in range(rng.choice([3, 30, 300]))) + f" {i}.", "A", 0, 0) for i in range(1500)], DOCS)
+    targets = spark.createDataFrame([("A", 1.0, 1)], "source string, target_share double, max_repeat int")
+    total = 60_000
+    sized, b = mixture._plan(docs, targets, total, 11, tokens.VOCABULARY)
+    rest, want = total, set()
+    for r in sorted(sized.collect(), key=lambda r: (r.key, r.doc_id)):
+        if r.n_tokens <= rest:
+            rest -= r.n_tokens
+            want.add(r.doc_id)
+    assert {r.doc_id for r in mixture.mixture(docs, targets, total).collect()} == want
+    slots = mixture._ranged(sized).groupBy("source", "slot").count()
+    assert slots.agg(F.max("count")).first()[0] <= 80
+
+
 # leakage --------------------------------------------------------------------------------------------------------------
 
 
