@@ -45,6 +45,12 @@ def p3_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sigtree.similar_records(_blocks(spark, sf_dir))
 
 
+@query
+def p3_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The compact form of p3_found: classes of equal texts and links between different ones."""
+    return sigtree.similar_records(_blocks(spark, sf_dir), k=3, t=0.6, least_words=40)
+
+
 @query
 def p8_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixture.mixture(table(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_targets"))

@@ -8,8 +8,11 @@ bitmaps and size ranges; a dual traversal from (root, root) drops every pair of
 nodes whose sizes or whose largest possible overlap exclude the threshold. What
 is left of pairs of records is verified on whole texts.
 
-Everything that reaches the driver has a fixed size: the frequency sketch
-(2**SKETCH_BITS bytes) and the filter of candidate keys (2**FILTER_BITS bits).
+What reaches the driver is bounded: the frequency sketch (at most
+2**SKETCH_BITS bytes, sized by the collection) and, if the candidates are few
+enough for one, the filter of their keys (at most 2**FILTER_BITS bits; beyond
+that they meet the texts in a join). Both are merged in two levels. Texts are
+never written; each pass reads them where they are.
 """
 
 from __future__ import annotations
@@ -19,95 +22,105 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from codexgrid.llm import words as W
 from codexgrid.plans.materialize import written
 
-SKETCH_BITS = 22
+SKETCH_BITS = 24  # at most; a cell for every second shingle or more below that
 BLOCK_BITS = 16
-FILTER_BITS = 23
+FILTER_BITS = 27  # at most
+KEY_BITS = 16  # of the filter for each key
 FANOUT = 8
 HOT = 100_000  # records of one shingle beyond which its subtree is sliced
-POSTINGS_PER_BUCKET = 1_500_000
+POSTINGS_PER_BUCKET = 400_000
 FRONTIER = 1 << 14
 BITS_A_SHINGLE = 4  # width of the bitmaps over the mean size of a record
+STEP = 1 << 20  # characters handled at once in a task
+SLICE = 1000  # members of a class of equal texts that one task pairs with as many
+SHARES = 1000  # a class that holds a SHARES-th of all records is looked up by broadcast
 
-_MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
+_mix = W.mix
 
 
-def _mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(30))) * _MIX[1]
-    x = (x ^ (x >> np.uint64(27))) * _MIX[2]
-    return x ^ (x >> np.uint64(31))
+def _read(it: Iterator[pd.DataFrame], least: int) -> Iterator[tuple[pd.DataFrame, np.ndarray, np.ndarray, np.ndarray]]:
+    """(frame, places in it, word hashes, words of each) of the texts of ``least`` words or more, in parts of about STEP characters."""
+    for pdf in it:
+        texts = pdf["text"].tolist()
+        for a, b in W.batches(texts, STEP):
+            h, n = W.hashed(texts[a:b])
+            keep = n >= least
+            yield pdf, a + np.flatnonzero(keep), h[np.repeat(keep, n)], n[keep]
 
 
-def words_of(*columns: str) -> Column:
-    """The lower-case words (maximal runs of letters or digits) of the columns, one blank between; null counts as empty."""
-    joined = F.concat_ws(" ", *[F.coalesce(F.col(c), F.lit("")) for c in columns])
-    return F.trim(F.regexp_replace(F.lower(joined), r"[^\p{L}\p{N}]+", " "))
+def _key(h: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return W.combined(h, n, 1).view(np.int64), W.combined(h, n, 2).view(np.int64)
 
 
-def shingles(texts: pd.Series, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """(row, hash) of each sequence of ``k`` successive words of each blank-separated text, in order."""
-    if not len(texts):
-        return np.empty(0, np.int64), np.empty(0, np.uint64)
-    lists = [t.split(" ") for t in texts]
-    n = np.fromiter(map(len, lists), np.int64, len(lists))
-    flat = np.empty(int(n.sum()), object)
-    flat[:] = [w for x in lists for w in x]
-    codes, uniques = pd.factorize(flat)
-    w = pd.util.hash_array(np.asarray(uniques, dtype=object), categorize=False).astype(np.uint64)[codes]
-    m = len(w) - k + 1
-    if m <= 0:
-        return np.empty(0, np.int64), np.empty(0, np.uint64)
-    h = np.zeros(m, np.uint64)
-    for i in range(k):
-        h = (h ^ w[i : i + m]) * _MIX[0]
-        h ^= h >> np.uint64(29)
-    row = np.repeat(np.arange(len(lists)), n)
-    inside = row[:m] == row[k - 1 :]
-    return row[:m][inside], _mix(h[inside])
+def _merged(rows: DataFrame, size: int, add) -> list:
+    """Rows (block, body, n) of the pieces (block, salt, body, n) of all tasks: merged by block and salt, then by block."""
+    merge = lambda key, pdf: pd.DataFrame({"block": [int(key[0])], "salt": [0], "body": [add(int(key[0]), list(pdf["body"]))], "n": [int(pdf["n"].sum())]})
+    schema = "block int, salt int, body binary, n long"
+    return rows.groupBy("block", "salt").applyInPandas(merge, schema).groupBy("block").applyInPandas(merge, schema).collect()
 
 
-def _sketch(docs: DataFrame, k: int) -> tuple[np.ndarray, int, int]:
-    """Log-scaled counts of shingles by hash (one byte each), the number of shingles and of texts; fixed size."""
+def _salt() -> int:
+    from pyspark import TaskContext
+
+    ctx = TaskContext.get()
+    return ctx.partitionId() % 256 if ctx else 0
+
+
+def _counted(at: np.ndarray, n: np.ndarray) -> bytes:
+    """Places in a block and what they count, the counts in as few bytes as they need."""
+    width = 1 if n.max() < 1 << 8 else 4 if n.max() < 1 << 32 else 8
+    return bytes([width]) + at.astype(np.uint16).tobytes() + n.astype(f"u{width}").tobytes()
+
+
+def _add_counts(block: int, bodies: list[bytes]) -> bytes:
+    if block < 0:
+        return b""
+    total = np.zeros(1 << BLOCK_BITS, np.uint64)
+    for body in bodies:
+        width = body[0]
+        m = (len(body) - 1) // (2 + width)
+        total[np.frombuffer(body, np.uint16, m, 1)] += np.frombuffer(body[1 + 2 * m :], f"u{width}").astype(np.uint64)
+    at = np.flatnonzero(total)
+    return _counted(at, total[at])
+
+
+def _sketch(docs: DataFrame, k: int, least: int) -> tuple[np.ndarray, int, int]:
+    """Log-scaled counts of shingles by hash (one byte each), the number of shingles and of texts."""
+    chars = docs.agg(F.sum(F.length("text"))).first()[0] or 0
+    bits = int(np.clip(math.ceil(math.log2(chars / 12 + 1)), BLOCK_BITS, SKETCH_BITS))
 
     def count(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total, docs_n = np.zeros(1 << SKETCH_BITS, np.uint32), 0
-        for pdf in it:
-            _, h = shingles(pdf["words"], k)
-            docs_n += len(pdf)
-            total += np.bincount((h >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), minlength=1 << SKETCH_BITS).astype(np.uint32)
-        if docs_n:
-            for b in range(1 << (SKETCH_BITS - BLOCK_BITS)):
-                part = total[b << BLOCK_BITS : (b + 1) << BLOCK_BITS]
-                at = np.flatnonzero(part)
-                if len(at):
-                    small = part[at].max() < 256
-                    body = at.astype(np.uint16).tobytes() + part[at].astype(np.uint8 if small else np.uint32).tobytes()
-                    yield pd.DataFrame({"block": [b], "small": [bool(small)], "body": [body], "docs": [docs_n if b == 0 else 0]})
-            yield pd.DataFrame({"block": [-1], "small": [True], "body": [b""], "docs": [docs_n]})
-
-    def add(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        if key[0] < 0:
-            return pd.DataFrame({"block": [key[0]], "body": [b""], "n": [int(pdf["docs"].sum())]})
-        total = np.zeros(1 << BLOCK_BITS, np.uint64)
-        for small, body in zip(pdf["small"], pdf["body"]):
-            m = len(body) // (3 if small else 6)
-            at = np.frombuffer(body, np.uint16, m)
-            total[at] += np.frombuffer(body, np.uint8 if small else np.uint32, m, 2 * m).astype(np.uint64)
-        return pd.DataFrame({"block": [key[0]], "body": [np.minimum(255, np.ceil(8 * np.log2(total + 1.0))).astype(np.uint8).tobytes()], "n": [int(total.sum())]})
-
-    rows = docs.select("words").mapInPandas(count, "block int, small boolean, body binary, docs long").groupBy("block").applyInPandas(add, "block int, body binary, n long").collect()
-    out, n, texts = np.zeros(1 << SKETCH_BITS, np.uint8), 0, 0
-    for r in rows:
+        total, docs_n = np.zeros(1 << bits, np.uint32), 0
+        for _, _, words, n in _read(it, least):
+            _, h = W.sequences(words, n, k)
+            docs_n += len(n)
+            if len(h) > 1 << (bits - 3):
+                total += np.bincount((h >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits).astype(np.uint32)
+            else:
+                np.add.at(total, (h >> np.uint64(64 - bits)).astype(np.int64), np.uint32(1))
+        for b in range(1 << (bits - BLOCK_BITS)):
+            part = total[b << BLOCK_BITS : (b + 1) << BLOCK_BITS]
+            at = np.flatnonzero(part)
+            if len(at):
+                yield pd.DataFrame({"block": [b], "salt": [_salt()], "body": [_counted(at, part[at])], "n": [int(part.sum(dtype=np.int64))]})
+        yield pd.DataFrame({"block": [-1], "salt": [_salt()], "body": [b""], "n": [docs_n]})
+
+    out, n, texts = np.zeros(1 << bits, np.uint8), 0, 0
+    for r in _merged(docs.select("text").mapInPandas(count, "block int, salt int, body binary, n long"), 1 << bits, _add_counts):
         if r.block < 0:
             texts = r.n
-        else:
-            out[r.block << BLOCK_BITS : (r.block + 1) << BLOCK_BITS] = np.frombuffer(r.body, np.uint8)
-            n += r.n
+            continue
+        n += r.n
+        width, body = r.body[0], bytes(r.body)
+        m = (len(body) - 1) // (2 + width)
+        at = np.frombuffer(body, np.uint16, m, 1).astype(np.int64)
+        out[(r.block << BLOCK_BITS) + at] = np.minimum(255, np.ceil(8 * np.log2(np.frombuffer(body[1 + 2 * m :], f"u{width}") + 1.0))).astype(np.uint8)
     return out, n, texts
 
 
@@ -115,32 +128,35 @@ def _least(share: float, n: np.ndarray) -> np.ndarray:
     return np.ceil(share * n - 1e-9).astype(np.int64)
 
 
-def _postings(docs: DataFrame, k: int, t: float, sketch: np.ndarray, width: int, buckets: int) -> DataFrame:
+def _postings(docs: DataFrame, k: int, t: float, least: int, sketch: np.ndarray, width: int, buckets: int) -> DataFrame:
     """Each record's rarest shingles with its size and bitmap, packed by bucket of shingles."""
-    shared = docs.sparkSession.sparkContext.broadcast(sketch)  # 2**SKETCH_BITS bytes
+    shared = docs.sparkSession.sparkContext.broadcast(sketch)  # 2**SKETCH_BITS bytes at most
+    bits = np.uint64(64 - (len(sketch).bit_length() - 1))
     hot_level = np.ceil(8 * np.log2(HOT + 1.0))
 
     def pack(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         counts = shared.value
-        for pdf in it:
-            pdf = pdf.drop_duplicates("k1")
-            row, h = shingles(pdf["words"], k)
-            q = counts[(h >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)]
+        for _, _, words, n in _read(it, least):
+            key, _ = _key(words, n)
+            once = np.zeros(len(n), bool)
+            once[np.unique(key, return_index=True)[1]] = True  # equal texts beside each other
+            key, words, n = key[once], words[np.repeat(once, n)], n[once]
+            row, h = W.sequences(words, n, k)
+            q = np.take(counts, (h >> bits).astype(np.int64))
             s = (q.astype(np.uint64) << np.uint64(56)) | (h >> np.uint64(8))
             o = np.lexsort((s, row))
             row, h, q, s = row[o], h[o], q[o], s[o]
             new = np.ones(len(row), bool)
             new[1:] = (row[1:] != row[:-1]) | (s[1:] != s[:-1])
             row, h, q = row[new], h[new], q[new]
-            n = np.bincount(row, minlength=len(pdf))
-            bits = np.zeros((len(pdf), width), np.uint8)
-            bits[row, (h & np.uint64(width - 1)).astype(np.int64)] = 1
-            sig = np.packbits(bits, axis=1).view(np.uint64)
+            n = np.bincount(row, minlength=len(key))
+            places = np.zeros((len(key), width), np.uint8)
+            places[row, (h & np.uint64(width - 1)).astype(np.int64)] = 1
+            sig = np.packbits(places, axis=1).view(np.uint64)
             rank = np.arange(len(row)) - (np.cumsum(n) - n)[row]
             keep = (rank <= n[row] - _least(t, n)[row]) & (q > 8)  # 8: seen once in all texts
             row, h, q, rank = row[keep], h[keep], q[keep], rank[keep]
             tok = ((h >> np.uint64(16)) & np.uint64(0xFFFFFFFF)).astype(np.uint64)
-            key = pdf["k1"].to_numpy().astype(np.int64)
             if (big := q >= hot_level).any():  # slices: a record meets each slice of a hot shingle's records in one subtree
                 parts = np.maximum(2, np.exp2(q[big] / 8.0) // HOT).astype(np.int64)
                 r2, t2, p2 = (np.repeat(x[big], parts) for x in (row, tok, rank))
@@ -164,7 +180,7 @@ def _postings(docs: DataFrame, k: int, t: float, sketch: np.ndarray, width: int,
                 )
             yield pd.DataFrame({"bucket": out_b, "body": out})
 
-    return docs.select("k1", "words").mapInPandas(pack, "bucket int, body binary")
+    return docs.select("text").mapInPandas(pack, "bucket int, body binary").repartition(buckets, "bucket")  # as many tasks as buckets, however many there are
 
 
 def _unpack(bodies: list[bytes], words: int):
@@ -270,45 +286,60 @@ def _candidates(posts: DataFrame, t: float, width: int) -> DataFrame:
     return posts.groupBy("bucket").applyInPandas(join, "a long, b long").distinct()
 
 
-def _key_filter(keys: DataFrame) -> np.ndarray:
-    """A bit filter of a long column ``k1``; fixed size."""
+def _key_filter(keys: DataFrame, bits: int) -> np.ndarray:
+    """A filter of 2**bits bits of the long column ``k1``, packed."""
 
     def put(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        bits = np.zeros(1 << FILTER_BITS, np.uint8)
         for pdf in it:
-            bits[(_mix(pdf["k1"].to_numpy().astype(np.uint64)) & np.uint64((1 << FILTER_BITS) - 1)).astype(np.int64)] = 1
-        yield pd.DataFrame({"one": [0], "body": [np.packbits(bits).tobytes()]})
+            at = np.unique(_mix(pdf["k1"].to_numpy().astype(np.uint64)) & np.uint64((1 << bits) - 1)).astype(np.int64)
+            block = at >> BLOCK_BITS
+            for a, b in _segments(block):
+                yield pd.DataFrame({"block": [int(block[a])], "salt": [_salt()], "body": [(at[a:b] & ((1 << BLOCK_BITS) - 1)).astype(np.uint16).tobytes()], "n": [0]})
+
+    add = lambda block, bodies: np.unique(np.frombuffer(b"".join(bodies), np.uint16)).tobytes()
+    out = np.zeros(1 << bits, bool)
+    for r in _merged(keys.select("k1").mapInPandas(put, "block int, salt int, body binary, n long"), 1 << bits, add):
+        out[(r.block << BLOCK_BITS) + np.frombuffer(bytes(r.body), np.uint16).astype(np.int64)] = True
+    return np.packbits(out)
 
-    def merge(pdf: pd.DataFrame) -> pd.DataFrame:
-        out = np.zeros(1 << (FILTER_BITS - 3), np.uint8)
-        for b in pdf["body"]:
-            out |= np.frombuffer(b, np.uint8)
-        return pd.DataFrame({"one": [0], "body": [out.tobytes()]})
 
-    rows = keys.select("k1").mapInPandas(put, "one int, body binary").groupBy("one").applyInPandas(merge, "one int, body binary").collect()
-    return np.unpackbits(np.frombuffer(rows[0].body, np.uint8)) if rows else np.zeros(1 << FILTER_BITS, np.uint8)
+def _segments(x: np.ndarray) -> Iterator[tuple[int, int]]:
+    cuts = np.flatnonzero(np.diff(x)) + 1
+    for a, b in zip(np.concatenate([[0], cuts]), np.concatenate([cuts, [len(x)]])):
+        if a < b:
+            yield int(a), int(b)
 
 
-def similar_classes(docs: DataFrame, k: int, t: float) -> DataFrame:
-    """Pairs (k1a, k2a, k1b, k2b, likeness) of different texts whose likeness is at least ``t``.
+def similar_classes(docs: DataFrame, k: int, t: float, least: int) -> DataFrame:
+    """Pairs (k1a, k2a, k1b, k2b, likeness) of different texts of ``least`` words or more whose likeness is at least ``t``.
 
-    ``docs`` has the key of a text (k1, k2: two hashes of its words) and ``words``; equal texts may repeat.
+    ``docs`` has ``text``; equal texts may repeat. k1 and k2 are two hashes of the words of a text (``text_keys``).
     """
     spark = docs.sparkSession
-    sketch, total, texts = _sketch(docs, k)
+    sketch, total, texts = _sketch(docs, k, least)
     if not texts:
         return spark.createDataFrame([], "k1a long, k2a long, k1b long, k2b long, likeness double")
     width = 1 << max(8, math.ceil(math.log2(BITS_A_SHINGLE * total / texts + 1)))
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil((1 - t) * total / POSTINGS_PER_BUCKET))
-    cand = written(_candidates(_postings(docs, k, t, sketch, width, buckets), t, width), "sigtree-candidates")
-    held = spark.sparkContext.broadcast(np.packbits(_key_filter(cand.select(F.explode(F.array("a", "b")).alias("k1")))))  # 2**FILTER_BITS bits
-
-    @F.pandas_udf(T.BooleanType())
-    def wanted(k1: pd.Series) -> pd.Series:
-        at = (_mix(k1.to_numpy().astype(np.uint64)) & np.uint64((1 << FILTER_BITS) - 1)).astype(np.int64)
-        return pd.Series((held.value[at >> 3] >> (7 - (at & 7))) & 1 == 1)
-
-    one = docs.filter(wanted("k1")).groupBy("k1", "k2").agg(F.first("words").alias("words"))
+    cand = written(_candidates(_postings(docs, k, t, least, sketch, width, buckets), t, width), "sigtree-candidates")
+    keys = cand.select(F.explode(F.array("a", "b")).alias("k1")).distinct()
+    bits = max(BLOCK_BITS, math.ceil(math.log2(KEY_BITS * keys.count() + 1)))
+    held = spark.sparkContext.broadcast(_key_filter(keys, bits)) if bits <= FILTER_BITS else None
+
+    def wanted(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf, at, h, n in _read(it, least):
+            k1, k2 = _key(h, n)
+            if held is not None:
+                x = (_mix(k1.view(np.uint64)) & np.uint64((1 << bits) - 1)).astype(np.int64)
+                some = np.flatnonzero((held.value[x >> 3] >> (7 - (x & 7))) & 1)
+                at, k1, k2 = at[some], k1[some], k2[some]
+            if len(at):
+                yield pd.DataFrame({"k1": k1, "k2": k2, "words": pdf["text"].to_numpy()[at]})
+
+    one = docs.select("text").mapInPandas(wanted, "k1 long, k2 long, words string")
+    if held is None:
+        one = one.join(keys, "k1", "left_semi")
+    one = one.groupBy("k1", "k2").agg(F.first("words").alias("words"))
     left = one.select(F.col("k1").alias("a"), F.col("k2").alias("k2a"), F.col("words").alias("wa"))
     right = one.select(F.col("k1").alias("b"), F.col("k2").alias("k2b"), F.col("words").alias("wb"))
 
@@ -316,7 +347,7 @@ def similar_classes(docs: DataFrame, k: int, t: float) -> DataFrame:
         for pdf in it:
             sides = []
             for c in ("wa", "wb"):
-                row, h = shingles(pdf[c], k)
+                row, h = W.sequences(*W.hashed(pdf[c].tolist()), k)
                 o = np.lexsort((h, row))
                 row, h = row[o], h[o]
                 new = np.ones(len(row), bool)
@@ -333,10 +364,36 @@ def similar_classes(docs: DataFrame, k: int, t: float) -> DataFrame:
     return cand.join(left, "a").join(right, "b").select("a", "k2a", "b", "k2b", "wa", "wb").mapInPandas(verify, "k1a long, k2a long, k1b long, k2b long, likeness double")
 
 
-def _docs(rows: DataFrame, id_col: str, columns: tuple[str, ...], least_words: int) -> DataFrame:
-    d = rows.filter(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), words_of(*columns).alias("words"))
-    d = d.filter(F.length("words") - F.length(F.replace("words", F.lit(" "), F.lit(""))) + 1 >= least_words)
-    return d.select("id", F.xxhash64("words").alias("k1"), F.xxhash64(F.lit(7), "words").alias("k2"), "words")
+def _docs(rows: DataFrame, id_col: str, columns: tuple[str, ...]) -> DataFrame:
+    text = F.concat_ws(" ", *[F.coalesce(F.col(c), F.lit("")) for c in columns])
+    return rows.filter(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), text.alias("text"))
+
+
+def text_keys(docs: DataFrame, least: int) -> DataFrame:
+    """id, k1, k2 of the texts (id, text) of ``least`` words or more; equal words give equal keys."""
+
+    def keys(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf, at, h, n in _read(it, least):
+            k1, k2 = _key(h, n)
+            yield pd.DataFrame({"id": pdf["id"].to_numpy()[at], "k1": k1, "k2": k2})
+
+    return docs.mapInPandas(keys, f"id {docs.schema['id'].dataType.simpleString()}, k1 long, k2 long")
+
+
+def _members(docs: DataFrame, least: int) -> tuple[DataFrame, DataFrame]:
+    """id, k1, k2, slice of the records, and k1, k2, slices, class_id, class_size of their classes of equal texts.
+
+    Classes that hold a large share of all records go to them by broadcast (at
+    most SHARES of them); a class of more than SLICE has slices.
+    """
+    members = written(text_keys(docs, least).distinct(), "sigtree-members")
+    total = members.count()
+    size = members.groupBy("k1", "k2").agg(F.count("*").alias("class_size"), F.min("id").alias("class_id"))
+    size = written(size.withColumn("slices", F.ceil(F.col("class_size") / SLICE).cast("int")), "sigtree-sizes")
+    often = F.col("class_size") * SHARES >= total
+    hot, cold = F.broadcast(size.filter(often)), size.filter(~often)
+    m = members.join(hot, ["k1", "k2"]).unionByName(members.join(hot.select("k1", "k2"), ["k1", "k2"], "left_anti").join(cold, ["k1", "k2"]))
+    return m.withColumn("slice", F.pmod(F.xxhash64("id"), F.col("slices")).cast("int")), size
 
 
 def similar_pairs(rows: DataFrame, id_col: str = "block_id", columns: tuple[str, ...] = ("title", "text"), k: int = 3, t: float = 0.6, least_words: int = 40) -> DataFrame:
@@ -347,13 +404,18 @@ def similar_pairs(rows: DataFrame, id_col: str = "block_id", columns: tuple[str,
     an id count once; equal texts under different ids are pairs of likeness 1;
     an empty table yields no row; other columns are ignored.
     """
-    docs = written(_docs(rows, id_col, columns, max(k, least_words)), "sigtree-words")
-    classes = similar_classes(docs, k, t)
-    members = docs.select("id", "k1", "k2").distinct()
-    a = members.select(F.col("id").alias("ida"), F.col("k1").alias("k1a"), F.col("k2").alias("k2a"))
-    b = members.select(F.col("id").alias("idb"), F.col("k1").alias("k1b"), F.col("k2").alias("k2b"))
-    across = classes.join(a, ["k1a", "k2a"]).join(b, ["k1b", "k2b"]).select("ida", "idb", "likeness")
-    within = a.join(b, (F.col("k1a") == F.col("k1b")) & (F.col("k2a") == F.col("k2b")) & (F.col("ida") < F.col("idb"))).select("ida", "idb", F.lit(1.0).alias("likeness"))
+    docs, least = _docs(rows, id_col, columns), max(k, least_words)
+    classes = similar_classes(docs, k, t, least)
+    members, size = _members(docs, least)
+    slices = lambda d, own, other: d.withColumn(own, F.explode(F.sequence(F.lit(0), F.col(other) - 1)))
+    side = lambda x: members.select(F.col("id").alias(f"id{x}"), F.col("k1").alias(f"k1{x}"), F.col("k2").alias(f"k2{x}"), F.col("slice").alias(f"s{x}"))
+    parts = lambda x: size.select(F.col("k1").alias(f"k1{x}"), F.col("k2").alias(f"k2{x}"), F.col("slices").alias(f"n{x}"))
+    met = slices(slices(classes.join(parts("a"), ["k1a", "k2a"]).join(parts("b"), ["k1b", "k2b"]), "sa", "na"), "sb", "nb").drop("na", "nb")
+    across = met.join(side("a"), ["k1a", "k2a", "sa"]).join(side("b"), ["k1b", "k2b", "sb"]).select("ida", "idb", "likeness")
+    several = members.filter("class_size > 1")
+    first = slices(several.select(F.col("id").alias("ida"), "k1", "k2", F.col("slice").alias("sa"), "slices"), "sb", "slices").drop("slices")
+    second = slices(several.select(F.col("id").alias("idb"), "k1", "k2", F.col("slice").alias("sb"), "slices"), "sa", "slices").drop("slices")
+    within = first.join(second, ["k1", "k2", "sa", "sb"]).filter("ida < idb").select("ida", "idb", F.lit(1.0).alias("likeness"))
     return across.unionByName(within).filter("ida <> idb").select(F.least("ida", "idb").alias(f"{id_col}_a"), F.greatest("ida", "idb").alias(f"{id_col}_b"), "likeness").distinct()
 
 
@@ -362,10 +424,15 @@ def similar_records(rows: DataFrame, id_col: str = "block_id", columns: tuple[st
 
     Nulls, repeated rows and empty tables as in ``similar_pairs``.
     """
-    docs = written(_docs(rows, id_col, columns, max(k, least_words)), "sigtree-words")
-    classes = similar_classes(docs, k, t)
+    docs, least = _docs(rows, id_col, columns), max(k, least_words)
+    classes = similar_classes(docs, k, t, least)
     links = classes.select(F.explode(F.array(F.struct(F.col("k1a").alias("k1"), F.col("k2a").alias("k2")), F.struct(F.col("k1b").alias("k1"), F.col("k2b").alias("k2")))).alias("x")).groupBy("x.k1", "x.k2").agg(F.count("*").alias("n_links"))
-    members = docs.select("id", "k1", "k2").distinct()
-    size = members.groupBy("k1", "k2").agg(F.min("id").alias("class_id"), F.count("*").alias("class_size"))
-    t_ = members.join(size, ["k1", "k2"]).join(links, ["k1", "k2"], "left")
+    members, size = _members(docs, least)
+    total = size.agg(F.sum("class_size")).first()[0] or 0
+    linked = links.join(size.select("k1", "k2", "class_size"), ["k1", "k2"])
+    often = F.col("class_size") * SHARES >= total
+    hot, cold = F.broadcast(linked.filter(often)), linked.filter(~often)
+    m = members.select("id", "k1", "k2", "class_id", "class_size")
+    count = lambda d, x, how: d.join(x.select("k1", "k2", "n_links"), ["k1", "k2"], how)
+    t_ = count(m, hot, "inner").unionByName(count(m.join(hot.select("k1", "k2"), ["k1", "k2"], "left_anti"), cold, "left"))
     return t_.select(F.col("id").alias(id_col), "class_id", "class_size", F.coalesce("n_links", F.lit(0)).alias("n_links"))

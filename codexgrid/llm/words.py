@@ -73,6 +73,30 @@ def hashed(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(hs), np.concatenate(ns)
 
 
+def combined(h: np.ndarray, counts: np.ndarray, salt: int = 0) -> np.ndarray:
+    """One hash of each text's words in order, from the words' hashes; other salts give independent ones."""
+    end = np.cumsum(counts)
+    first = end - counts
+    up, down = _powers(len(h) + 1)
+    total = np.zeros(len(h) + 1, np.uint64)
+    np.cumsum(mix(h + np.uint64(salt)) * up[: len(h)], out=total[1:])
+    return mix((total[end] - total[first]) * down[first] + counts.astype(np.uint64))
+
+
+def sequences(h: np.ndarray, counts: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """(text, hash) of each sequence of ``k`` successive words of each text, in order."""
+    m = len(h) - k + 1
+    if m <= 0:
+        return np.empty(0, np.int64), np.empty(0, np.uint64)
+    out = np.zeros(m, np.uint64)
+    for i in range(k):
+        out = (out ^ h[i : i + m]) * np.uint64(_POWER)
+        out ^= out >> np.uint64(29)
+    row = np.repeat(np.arange(len(counts)), counts)
+    inside = row[:m] == row[k - 1 :]
+    return row[:m][inside], mix(out[inside])
+
+
 def batches(texts: list[str], size: int) -> Iterator[tuple[int, int]]:
     """Ranges of the list that hold about ``size`` characters each."""
     a = total = 0
