@@ -1,10 +1,11 @@
 """Broken prompt and response pairs (problem 4): a conditional random field over response clauses.
 
 A response is cut into clauses; a linear-chain CRF tags each as answer, refusal,
-echo, foreign or unfinished. Its weights are fitted on the driver on at most
-``TRAIN_ROWS`` rows of the collection whose responses look sound, from which
-defective responses are made by refusing, copying, translating away and cutting.
-The share of a response that each tag covers then decides the pair's defect.
+echo, foreign, unfinished or blank (a placeholder). Its weights are fitted on the
+driver on at most ``TRAIN_ROWS`` rows of the collection whose responses look
+sound, from which defective responses are made by refusing, copying, translating
+away, cutting and leaving out. The share of a response that each tag covers then
+decides the pair's defect; an echo is also looked up in the prompt.
 """
 
 from __future__ import annotations
@@ -22,8 +23,10 @@ from codexgrid.llm.sampling import bounded
 
 TRAIN_ROWS = 1500
 ROUNDS = 160  # steps of gradient ascent
-ANSWER, REFUSAL, ECHO, FOREIGN, UNFINISHED = range(5)
-LONGEST = 64  # clauses of one decoded window; longer responses take several
+ANSWER, REFUSAL, ECHO, FOREIGN, UNFINISHED, BLANK = range(6)
+TAGS = 6
+TRAIN_CLAUSES = 64  # of a response that the weights are fitted on; tagged are responses of any length
+CELLS = 200_000  # clauses and padding decoded at once
 
 _PLACEHOLDER = re.compile(r"^[\s　\-—–―…・.。/_*#()（）\[\]]*(?:n/?a|null|none|nil|tbd|todo|undefined|なし|該当なし|未訳|未翻訳)?[\s　\-—–―…・.。/_*#()（）\[\]]*$", re.I)
 _CUT = re.compile(r"(?<=[。！？])(?=[^」』）)”\"])|(?<=[.!?])\s+(?=[^a-z\s])|(?<=[.!?。:：])\s*\n+\s*")
@@ -68,7 +71,7 @@ def _foreign_han(chars: str) -> int:
 
 FEATURES = (
     "bias kana0 kana_low kana_high han latin_low latin_half latin_most hangul other nonjis han_no_kana_long sorry cannot self polite echo_part echo_whole echo_words "
-    "closed goes_on last first short single prompt_open ellipsis kana_and_cannot latin_and_cannot latin_not_echo last_open last_open_prompt_closed ratio_short"
+    "closed goes_on last first short single prompt_open ellipsis kana_and_cannot latin_and_cannot latin_not_echo last_open last_open_prompt_closed ratio_short placeholder no_letters"
 ).split()
 _AT = {f: i for i, f in enumerate(FEATURES)}
 
@@ -78,6 +81,10 @@ def _features(c: str, k: int, n: int, prompt_norm: str, prompt_words: frozenset,
     kana, han, latin, hangul, other = (len(p.findall(c)) for p in (_KANA, _HAN, _LATIN, _HANGUL, _OTHER))
     letters = max(kana + han + latin + hangul + other, 1)
     on = ["bias"]
+    if _PLACEHOLDER.match(c):
+        on.append("placeholder")
+    if not kana + han + latin + hangul + other:
+        on.append("no_letters")
     on.append("kana0" if not kana else "kana_low" if kana < 0.2 * letters else "kana_high")
     if han:
         on.append("han")
@@ -162,7 +169,7 @@ def _sequence(prompt: str, answer: str) -> list[list[int]]:
 def _lattice(seqs: list[list[list[int]]], w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Clause scores (sequences, positions, labels) and the mask of positions."""
     longest = max((len(s) for s in seqs), default=1) or 1
-    score = np.zeros((len(seqs), longest, 5))
+    score = np.zeros((len(seqs), longest, TAGS))
     mask = np.zeros((len(seqs), longest), bool)
     flat = [(i, k, f) for i, s in enumerate(seqs) for k, fs in enumerate(s) for f in fs]
     if flat:
@@ -175,7 +182,7 @@ def _lattice(seqs: list[list[list[int]]], w: np.ndarray) -> tuple[np.ndarray, np
 def _fit(seqs: list[list[list[int]]], labels: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
     """Weights of the features and of the transitions, by gradient ascent on the penalised conditional likelihood."""
     nf = len(FEATURES)
-    w, tr = np.zeros((nf, 5)), np.zeros((5, 5))
+    w, tr = np.zeros((nf, TAGS)), np.zeros((TAGS, TAGS))
     longest = max(map(len, seqs))
     x = np.zeros((len(seqs), longest, nf))
     y = np.zeros((len(seqs), longest), np.int64)
@@ -183,7 +190,7 @@ def _fit(seqs: list[list[list[int]]], labels: list[list[int]]) -> tuple[np.ndarr
     for i, (s, lab) in enumerate(zip(seqs, labels)):
         for k, fs in enumerate(s):
             x[i, k, fs], y[i, k], mask[i, k] = 1.0, lab[k], True
-    gold = np.eye(5)[y] * mask[..., None]
+    gold = np.eye(TAGS)[y] * mask[..., None]
     gold_w = np.einsum("itf,itl->fl", x, gold)
     gold_t = np.einsum("ita,itb->ab", gold[:, :-1], gold[:, 1:])
     mw, vw, mt, vt = np.zeros_like(w), np.zeros_like(w), np.zeros_like(tr), np.zeros_like(tr)
@@ -212,15 +219,29 @@ def _fit(seqs: list[list[list[int]]], labels: list[list[int]]) -> tuple[np.ndarr
 
 
 def _viterbi(seqs: list[list[list[int]]], model: tuple[np.ndarray, np.ndarray]) -> list[np.ndarray]:
+    """The tags of each sequence; sequences of like length are decoded together, a long one alone."""
+    out: list[np.ndarray] = [np.zeros(0, np.int64)] * len(seqs)
+    part: list[int] = []
+    for i in [*sorted(range(len(seqs)), key=lambda i: len(seqs[i])), None]:
+        if part and (i is None or (len(part) + 1) * len(seqs[i]) > CELLS):
+            for k, t in zip(part, _decoded([seqs[k] for k in part], model)):
+                out[k] = t
+            part = []
+        if i is not None:
+            part.append(i)
+    return out
+
+
+def _decoded(seqs: list[list[list[int]]], model: tuple[np.ndarray, np.ndarray]) -> list[np.ndarray]:
     w, tr = model
     score, mask = _lattice(seqs, w)
     n, longest, _ = score.shape
-    best, back = score[:, 0].copy(), np.zeros((n, longest, 5), np.int64)
+    best, back = score[:, 0].copy(), np.zeros((n, longest, TAGS), np.int64)
     for k in range(1, longest):
         s = best[:, :, None] + tr
         arg = s.argmax(1)
         new = np.take_along_axis(s, arg[:, None, :], 1)[:, 0] + score[:, k]
-        back[:, k] = np.where(mask[:, k, None], arg, np.arange(5))
+        back[:, k] = np.where(mask[:, k, None], arg, np.arange(TAGS))
         best = np.where(mask[:, k, None], new, best)
     tags = np.zeros((n, longest), np.int64)
     tags[:, -1] = best.argmax(1)
@@ -244,13 +265,16 @@ _FOREIGN = (
 )
 
 
+_BLANKS = ("N/A", "n/a", "-", "—", "…", "...", "なし", "該当なし", "未訳", "TBD", "null", "none", "。", "(N/A)", "[ ]", "***", "todo", "／")
+
+
 def _training(rows: list[tuple[str, str]], seed: int = 1) -> tuple[list, list]:
     rng = np.random.default_rng(seed)
     seqs, labels = [], []
 
     def add(prompt: str, answer: str, tag) -> None:
         s = _sequence(prompt, answer)
-        if s:
+        if 0 < len(s) <= TRAIN_CLAUSES:
             seqs.append(s)
             labels.append([tag(k, len(s)) for k in range(len(s))])
 
@@ -258,6 +282,8 @@ def _training(rows: list[tuple[str, str]], seed: int = 1) -> tuple[list, list]:
     for prompt, answer in rows:
         add(prompt, answer, lambda k, n: ANSWER)
         u = rng.random()
+        if rng.random() < 0.1:
+            add(prompt, pick(_BLANKS), lambda k, n: BLANK)
         if u < 0.2:
             add(prompt, pick(_REFUSALS), lambda k, n: REFUSAL)
         elif u < 0.4:
@@ -275,13 +301,12 @@ def _training(rows: list[tuple[str, str]], seed: int = 1) -> tuple[list, list]:
 
 
 def fit(rows: DataFrame, prompt: str = "text", answers: tuple[str, ...] = ("translation", "summary_ja")) -> tuple[np.ndarray, np.ndarray] | None:
-    """The CRF, fitted on at most TRAIN_ROWS sound-looking pairs in an order by hash; None without any."""
+    """The CRF, fitted on at most TRAIN_ROWS sound-looking pairs in an order by hash; None where no answer has a clause."""
     both = rows.select(F.col(prompt).alias("p"), F.explode(F.array(*answers)).alias("a")).filter("p is not null and a is not null")
     sound = F.col("a").rlike(r"[぀-ヿ].*(?:。|：|；及び|\))$") & ~F.col("a").rlike(r"[A-Za-z ]{40}|ません|ください")
-    got = [(r.p, r.a) for r in bounded(both, TRAIN_ROWS, sound)]
-    if not got:
-        return None
-    return _fit(*_training(got))
+    # where nothing looks sound, whatever there is
+    got = [(r.p, r.a) for r in bounded(both, TRAIN_ROWS, sound) or bounded(both, TRAIN_ROWS)]
+    return _fit(*_training(got)) if any(clauses(a) for _, a in got) else None
 
 
 def _whole_sentence(prompt: str, answer: str) -> bool:
@@ -303,17 +328,16 @@ def defect(prompt: str, answer: str | None, tags: np.ndarray, required: bool) ->
     """The first defect that fits, from the tags of the answer's clauses."""
     if answer is None:
         return "empty" if required else None
-    if _PLACEHOLDER.match(answer):
-        return "empty"
     cs = clauses(answer)
     size = np.asarray([len(c) for c in cs], float)
-    cover = np.bincount(tags, size, 5) / max(size.sum(), 1.0)
+    cover = np.bincount(tags, size, TAGS) / max(size.sum(), 1.0)
+    if not cs or cover[BLANK] > 0.5:
+        return "empty"
     latin = len(_LATIN.findall(answer))
     if cover[REFUSAL] >= 0.4:
         return "refusal"
-    if latin > 0.3 * len(answer) or cover[ECHO] > 0 or latin > 40:
-        if _whole_sentence(prompt, answer):
-            return "copied"
+    if cover[ECHO] > 0 and _whole_sentence(prompt, answer):
+        return "copied"
     han = _HAN.findall(answer)
     brief = len(han) < 8 and not (latin or _HANGUL.search(answer) or _OTHER.search(answer) or _foreign_han("".join(han)))  # a few characters of either language
     if cover[FOREIGN] + cover[ECHO] >= 0.5 and not brief:
@@ -333,7 +357,7 @@ def broken_pairs(rows: DataFrame, key: str = "block_id", prompt: str = "text", a
     no row; other columns are ignored; answers of any length are read whole.
     """
     names = [a for a, _ in answers]
-    model = model or fit(rows, prompt, tuple(names)) or (np.zeros((len(FEATURES), 5)), np.zeros((5, 5)))
+    model = model or fit(rows, prompt, tuple(names)) or (np.zeros((len(FEATURES), TAGS)), np.zeros((TAGS, TAGS)))
     shared = rows.sparkSession.sparkContext.broadcast(model)  # a few hundred weights
     need = [r for _, r in answers]
 
@@ -348,19 +372,13 @@ def broken_pairs(rows: DataFrame, key: str = "block_id", prompt: str = "text", a
                     if a is None:
                         if need[j]:
                             out.append((r[0], name, "empty"))
-                    elif _PLACEHOLDER.match(a):
-                        out.append((r[0], name, "empty"))
                     else:
                         work.append((r[0], name, p, a, need[j]))
             for at in range(0, len(work), 2000):
                 part = work[at : at + 2000]
                 seqs = [_sequence(p, a) for _, _, p, a, _ in part]
-                cut = [(i, s[k : k + LONGEST]) for i, s in enumerate(seqs) for k in range(0, max(len(s), 1), LONGEST)]
-                tags: dict[int, list] = {}
-                for (i, _), t in zip(cut, _viterbi([s for _, s in cut], shared.value)):
-                    tags.setdefault(i, []).append(t)
-                for i, (k, name, p, a, required) in enumerate(part):
-                    if d := defect(p, a, np.concatenate(tags[i]), required):
+                for (k, name, p, a, required), t in zip(part, _viterbi(seqs, shared.value)):
+                    if d := defect(p, a, t, required):
                         out.append((k, name, d))
             yield pd.DataFrame(out, columns=["key", "answer", "defect"])
 
