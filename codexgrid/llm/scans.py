@@ -1,10 +1,11 @@
 """Noise in text from scanned pages (problem 1): finding and repairing it.
 
-Line-pair classifiers (boosted trees) tell page furniture from text and decide
-how two lines join. Word forms are counted over the whole collection; an
-inverted join over character q-grams retrieves, for every rare form, the
-frequent forms that resemble it, and boosted trees rank them as replacements.
-The classifiers are fitted on damage made from at most ``TRAIN_ROWS`` rows and
+Line-pair classifiers (boosted trees) tell page furniture from text, page numbers
+from headers and from titles that end in a number, and decide how two lines
+join. Word forms and the shapes of numbers are counted over the whole
+collection; an inverted join over character q-grams (with their place and the
+form's length) retrieves, for every rare form, the frequent forms that resemble
+it, and boosted trees rank them as replacements. The classifiers are fitted on damage made from at most ``TRAIN_ROWS`` rows and
 ``TRAIN_FORMS`` frequent forms of the collection itself; counts, candidates and
 replacements cover all rows. Only the ``COMMON`` most frequent sound forms are
 broadcast; all other forms meet their replacements in a join.
@@ -27,34 +28,33 @@ from codexgrid.plans.materialize import written
 
 TRAIN_ROWS = 800
 TRAIN_FORMS = 1500
-COMMON = 50_000  # forms broadcast, at most
+COMMON = 200_000  # forms broadcast, at most
 RATIO = 20  # a replacement is so many times as frequent as the form
 RATIO_FIGURES = 500  # the same for forms of figures, whose shapes are few
+RATIO_NUMBERS = 3  # and of numbers of headings, which have no letters
 FREQUENT = 5  # and occurs at least so often
 
 #: Shapes that recognition confuses (fixed values): what is printed, what is read.
 CONFUSED = (
     ("o", "0"), ("l", "1"), ("i", "1"), ("l", "i"), ("s", "5"), ("g", "9"), ("b", "6"), ("b", "8"), ("z", "2"), ("q", "9"), ("t", "+"), ("a", "@"), ("e", "c"), ("h", "b"),
     ("i", "l"), ("rn", "m"), ("m", "rn"), ("u", "ii"), ("n", "ri"), ("w", "vv"), ("d", "cl"), ("cl", "d"), ("h", "li"), ("l", "|"), ("i", "!"), ("i", "j"), ("f", "t"), ("c", "e"), ("o", "c"), ("n", "u"), ("u", "n"), ("s", "$"), ("e", "€"), ("a", "o"), ("v", "y"),
-    ("9", "s"), ("9", "b"), ("9", "z"), ("9", "l"), ("9", "i"), ("9", "o"), ("9", "|"), ("0", "o"), ("1", "l"), ("1", "i"), ("2", "z"), ("5", "s"), ("8", "b"), ("6", "b"),
+    ("9", "s"), ("9", "b"), ("9", "z"), ("9", "l"), ("9", "i"), ("9", "o"), ("9", "|"), ("0", "o"), ("1", "l"), ("1", "i"), ("2", "z"), ("5", "s"), ("8", "b"), ("6", "b"), ("9", "q"),
 )
 #: Only these may be assumed where both sides are plain letters.
 _RARE = {("f", "t"), ("c", "e"), ("o", "c"), ("n", "u"), ("u", "n"), ("a", "o"), ("v", "y"), ("i", "j")}
 _HYPHEN = "-‐‑­¬"
 _BREAK = re.compile(rf"([A-Za-z0-9@+|]+)[{_HYPHEN}][ \t]*\n[ \t]*(?=[A-Za-z0-9@+|])")
 _ENDS_BROKEN = re.compile(rf"[A-Za-z0-9@+|][{_HYPHEN}][ \t]*$")
-LEADER = re.compile(r"\s*(?:[.…·_]{2,}[\s.…·_]*|\s[.…]\s*|\t+)\d{1,4}\s*$|\s+(?:p\.?|page)\s*\d{1,4}\s*$", re.I)
-_BARE_END = re.compile(r"(?<=[a-z)])\s+\d{1,3}\s*$")
+_END = re.compile(r"^(.*?)([\s.…·_]*)((?:\b(?:p\.?|page)\s*)?)(\d{1,4})\s*$", re.I | re.S)
 _PAGE = re.compile(r"^\W*(?:(?:page|p\.|pg\.?|seite)\s*)?\d{1,4}(?:\s*(?:/|of|von|-)\s*\d{1,4})?\W*$", re.I)
 _HEAD_WORDS = re.compile(r"\b(?:ece|regulation|annex|appendix|rev|add|amend|consolidated|trans|page|suppl(?:ement)?|corr)\b", re.I)
 _STRIP = "-‐‑­¬\"'“”‘’()[]{}.,;:!?、。–—…«»"
-_EDGE = re.compile(r"[/\-]")
 
 
 def form(token: str) -> str:
     """The counted form of a token: lower case, outer punctuation off, digits as 9 unless the token is mostly letters; '' for none."""
     t = token.strip(_STRIP).lower()
-    if not t or len(t) > 40:
+    if not t:
         return ""
     letters = sum(c.isalpha() for c in t)
     digits = sum(c.isdigit() for c in t)
@@ -65,8 +65,10 @@ def form(token: str) -> str:
     return t
 
 
-def _parts(token: str) -> list[str]:
-    return _EDGE.split(token) if "/" in token or "-" in token else [token]
+def number_form(number: str) -> str:
+    """The counted form of a heading's number: its shape behind a mark of its own; '' for none."""
+    t = re.sub(r"\d", "9", number.strip().strip(".").lower())
+    return "#" + t if t else ""
 
 
 _TOKEN = re.compile(r"[^\s\-–—]+")
@@ -106,11 +108,37 @@ def _pair_features(head: str, tail: str, mark: str, common: dict) -> list[float]
     ]
 
 
-class Lines:
-    """The fitted line classifiers."""
+def _end_features(title: str) -> list[float] | None:
+    """How a title ends in a number of up to four digits; None if it doesn't."""
+    m = _END.match(title)
+    if m is None:
+        return None
+    head, gap, word, number = m.groups()
+    dots = sum(c in ".…·_" for c in gap)
+    last = head.split()[-1] if head.split() else ""
+    return [
+        float(len(gap)), float(dots), float("…" in gap), float("\t" in gap), float(gap.count(" ")), float(bool(word)), float(len(number)), float(int(number)), float(len(head)), float(len(last)), float(last[-1:].isalpha()), float(last[-1:].isdigit()),
+        float(last[:1].isupper()), float(len(_HEAD_WORDS.findall(last))), float(len(head.split())), float(last[-1:] in ")]"), float(bool(re.search(r"\s[.…]\s*$", gap))),
+    ]
+
 
-    def __init__(self, furniture: Boosted | None, pair: Boosted | None) -> None:
-        self.furniture, self.pair = furniture, pair
+class Lines:
+    """The fitted line classifiers: furniture or text, page number or header, joined or not, and page numbers that end titles."""
+
+    def __init__(self, furniture: Boosted | None, kind: Boosted | None, pair: Boosted | None, ending: Boosted | None) -> None:
+        self.furniture, self.kind, self.pair, self.ending = furniture, kind, pair, ending
+
+    def paged(self, titles: list[str | None]) -> list[bool]:
+        """Which titles end in a page number."""
+        out, at, rows = [False] * len(titles), [], []
+        for i, t in enumerate(titles):
+            if t and t.rstrip()[-1:].isdigit() and (x := _end_features(t)) is not None:
+                at.append(i)
+                rows.append(x)
+        if rows and self.ending is not None:
+            for i, p in zip(at, self.ending.predict(np.asarray(rows))):
+                out[i] = p > 0.5
+        return out
 
     def read(self, texts: list[str], common: dict) -> list[tuple[str, set[str]]]:
         """Each text as one continuous string and the kinds of noise its lines show; all lines are classified at once."""
@@ -122,20 +150,21 @@ class Lines:
                 longest = max(map(len, t.split("\n")))
                 at += [(i, k) for k in range(len(lines))]
                 rows += [_line_features(lines[k - 1] if k else "", s, lines[k + 1] if k + 1 < len(lines) else "", longest) for k, s in enumerate(lines)]
-        furniture: dict[int, set[int]] = {}
+        furniture: dict[int, dict[int, str]] = {}
         if rows and self.furniture is not None:
-            for (i, k), p in zip(at, self.furniture.predict(np.asarray(rows))):
-                if p > 0.5:
-                    furniture.setdefault(i, set()).add(k)
+            hit = np.flatnonzero(self.furniture.predict(np.asarray(rows)) > 0.5)
+            paged = self.kind.predict(np.asarray(rows)[hit]) > 0.5 if len(hit) and self.kind is not None else np.zeros(len(hit), bool)
+            for x, page in zip(hit, paged):
+                i, k = at[x]
+                furniture.setdefault(i, {})[k] = "page_number" if page else "running_header"
         joints, pair_rows = {}, []
         for i, lines in enumerate(filled):
             if lines is None:
                 continue
-            drop = furniture.get(i, set())
+            drop = furniture.get(i, {})
             if len(drop) == len(lines):
-                drop = set()
-            for k in drop:
-                kinds[i].add("page_number" if _PAGE.match(lines[k].strip()) else "running_header")
+                drop = {}
+            kinds[i].update(drop.values())
             kept = filled[i] = [s.strip() for k, s in enumerate(lines) if k not in drop]
             for k in range(len(kept) - 1):
                 m, n = _DIVIDED.search(kept[k]), _BEGINS.match(kept[k + 1])
@@ -174,11 +203,35 @@ _HEADERS = (
 _PAGES = ("#", "- # -", "– # –", "[#]", "#/#", "Page # of #", "page #", "                #", "p. #")
 
 
-def _fit_lines(texts: list[str], common: dict, seed: int = 4) -> Lines:
+def _fit_ends(titles: list[str], number, pick, rng) -> tuple[list, list]:
+    """Titles with page numbers made behind leaders, and titles that end in a number of their own."""
+    x, y = [], []
+    for title in titles:
+        head = title.rstrip()
+        if not head or head[-1].isdigit():
+            if (own := _end_features(head)) is not None and own[1] < 2 and not own[5]:  # a number without leader is the title's
+                x.append(own)
+                y.append(0)
+            continue
+        dots = int(rng.integers(2, 40))
+        for gap in (f" {'.' * dots} ", "." * dots, f" {'…' * int(rng.integers(1, 8))} ", " ." * dots + " ", "\t", f" {'·' * dots} ", " p. ", " page ", f" {'_' * dots} ", " … "):
+            if rng.random() < 0.5 and (made := _end_features(number(head + gap + "#"))) is not None:
+                x.append(made)
+                y.append(1)
+        words = head.split()
+        for word in (pick(("Annex", "Appendix", "Class", "Type", "Part", "No.", "Category", "Table", "Figure", "paragraph", "Group", "Stage")), words[-1]):
+            made = _end_features(f"{' '.join(words[: int(rng.integers(0, len(words) + 1))])} {word} {int(10 ** rng.uniform(0, 2.5))}".strip())
+            if made is not None:
+                x.append(made)
+                y.append(0)
+    return x, y
+
+
+def _fit_lines(texts: list[str], titles: list[str], common: dict, seed: int = 4) -> Lines:
     rng = np.random.default_rng(seed)
     number = lambda s: re.sub("#", lambda _: str(int(10 ** rng.uniform(0, 3.3))), s)
     pick = lambda xs: xs[int(rng.integers(len(xs)))]
-    fx, fy, px, py = [], [], [], []
+    fx, fy, kx, ky, px, py = [], [], [], [], [], []
     for text in texts:
         words = text.split()
         if len(words) < 12:
@@ -194,13 +247,16 @@ def _fit_lines(texts: list[str], common: dict, seed: int = 4) -> Lines:
             else:
                 line = f"{line} {w}" if line else w
         lines.append((line, 0))
-        for make in (_HEADERS, _PAGES):
+        for made, make in enumerate((_HEADERS, _PAGES), 1):
             if len(lines) > 1 and rng.random() < 0.8:
-                lines.insert(int(rng.integers(0, len(lines) + 1)), (number(pick(make)), 1))
+                lines.insert(int(rng.integers(0, len(lines) + 1)), (number(pick(make)), made))
         longest = max(len(s) for s, _ in lines)
         for k, (s, y) in enumerate(lines):
             fx.append(_line_features(lines[k - 1][0] if k else "", s, lines[k + 1][0] if k + 1 < len(lines) else "", longest))
-            fy.append(y)
+            fy.append(y > 0)
+            if y:
+                kx.append(fx[-1])
+                ky.append(y == 2)
         for w in [w for w in words if w.isalpha() and len(w) >= 5][:6]:
             k = int(rng.integers(2, len(w) - 1))
             px.append(_pair_features(w[:k], w[k:], pick(_HYPHEN) if rng.random() < 0.5 else "-", common))
@@ -214,7 +270,7 @@ def _fit_lines(texts: list[str], common: dict, seed: int = 4) -> Lines:
     pair = fit(px, py)
     if pair is None and px:
         pair = Boosted(rounds=0).fit(np.asarray(px, float), np.ones(len(px)))
-    return Lines(fit(fx, fy), pair)
+    return Lines(fit(fx, fy), fit(kx, ky), pair, fit(*_fit_ends(titles, number, pick, rng)))
 
 
 # words ---------------------------------------------------------------------------------------------------------------
@@ -307,15 +363,18 @@ def _replacements(counts: DataFrame, ranker: Boosted | None) -> DataFrame:
     schema = "form string, replacement string, score double"
     if ranker is None:
         return spark.createDataFrame([], schema)
-    usual = counts.filter((F.col("n") >= FREQUENT) & (F.length("form") >= 2) & (F.col("form").rlike("^[a-z]+$") | F.col("form").rlike(r"^9+(?:\.9+)*$")))
+    usual = counts.filter((F.col("n") >= FREQUENT) & (F.length("form") >= 2) & (F.col("form").rlike("^[a-z]+$") | F.col("form").rlike(r"^#?9+(?:\.9+)*$")))
     top = usual.agg(F.max("n")).first()[0] or 0
-    rare = counts.filter((F.col("n") * RATIO <= F.lit(top)) & (F.length("form") >= 2))
-    a = rare.select(F.col("form"), F.col("n"), F.explode(F.expr(_grams("form"))).alias("x")).select("form", "n", "x.g", "x.at")
-    b = usual.select(F.col("form").alias("cand"), F.col("n").alias("nc"), F.explode(F.expr(_grams("form"))).alias("x")).select("cand", "nc", "x.g", F.col("x.at").alias("at2"))
-    met = a.join(b, "g").filter((F.abs(F.col("at") - F.col("at2")) <= 1) & (F.col("n") * F.when(F.col("cand").startswith("9"), RATIO_FIGURES).otherwise(RATIO) <= F.col("nc")) & (F.abs(F.length("form") - F.length("cand")) <= 2) & (F.col("form") != F.col("cand")))
+    times = lambda c: F.when(c.startswith("#"), RATIO_NUMBERS).when(c.startswith("9"), RATIO_FIGURES).otherwise(RATIO)
+    rare = counts.filter((F.col("n") * times(F.col("form")) <= F.lit(top)) & (F.length("form") >= 2))
+    # bigram, place and length are the key; the frequent forms, far fewer, are put at all places and lengths that a rare form may have
+    a = rare.select("form", "n", F.length("form").alias("len"), F.explode(F.expr(_grams("form"))).alias("x")).select("form", "n", "len", "x.g", "x.at")
+    b = usual.select(F.col("form").alias("cand"), F.col("n").alias("nc"), F.explode(F.expr(_grams("form"))).alias("x"), F.expr("sequence(greatest(length(form) - 2, 2), length(form) + 2)").alias("lens"))
+    b = b.select("cand", "nc", "x.g", F.explode(F.expr("sequence(x.at - 1, x.at + 1)")).alias("at"), "lens").select("cand", "nc", "g", "at", F.explode("lens").alias("len"))
+    met = a.join(b, ["g", "at", "len"]).filter((F.col("n") * times(F.col("cand")) <= F.col("nc")) & (F.col("form") != F.col("cand")) & (F.col("form").startswith("#") == F.col("cand").startswith("#")))
     shared = met.groupBy("form", "cand", "n", "nc").agg(F.countDistinct("g").alias("k"))
     # a confusion touches two bigrams (three where one character becomes two); forms of up to four characters may keep one only
-    close = shared.filter(F.col("k") >= F.greatest(F.lit(1), F.floor(F.col("k") * 0 + (F.length("form") + 1) * 0.45)))
+    close = shared.filter(F.col("k") >= F.greatest(F.lit(1), F.floor((F.length("form") + 1) * 0.45)))
     held = spark.sparkContext.broadcast(ranker)  # some dozen trees
 
     def rank(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -324,7 +383,7 @@ def _replacements(counts: DataFrame, ranker: Boosted | None) -> DataFrame:
                 continue
             x = [_rank_features(r.form, r.cand, r.n, r.nc) for r in pdf.itertuples(index=False)]
             x = np.asarray(x, float)
-            score = held.value.predict(x) * (x[:, 2] == 0)  # nothing but confusions
+            score = held.value.predict(x)
             keep = score > 0.5
             yield pd.DataFrame({"form": pdf["form"][keep], "replacement": pdf["cand"][keep], "score": score[keep], "nc": pdf["nc"][keep]})
 
@@ -333,11 +392,12 @@ def _replacements(counts: DataFrame, ranker: Boosted | None) -> DataFrame:
 
 
 def _counts(rows: DataFrame) -> DataFrame:
-    """How often each form occurs in titles and texts; parts of words divided at line ends are not counted."""
+    """How often each form occurs in numbers, titles and texts; parts of words divided at line ends are not counted."""
 
     def count(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total: Counter = Counter()
         for pdf in it:
+            total.update(f for x in pdf["number"] if x and (f := number_form(x)))
             texts = [_BREAK.sub(" ", t) if "\n" in t else t for t in pdf["body"]]
             flat, _ = _token_lists(texts)
             code, uniques = pd.factorize(flat)
@@ -352,7 +412,7 @@ def _counts(rows: DataFrame) -> DataFrame:
         if total:
             yield pd.DataFrame({"form": list(total), "n": list(total.values())})
 
-    body = rows.select(F.concat_ws("\n\n", "title", "text").alias("body"))
+    body = rows.select("number", F.concat_ws("\n\n", "title", "text").alias("body"))
     return body.mapInPandas(count, "form string, n long").groupBy("form").agg(F.sum("n").alias("n"))
 
 
@@ -368,15 +428,6 @@ def _most_frequent(counts: DataFrame, most: int) -> DataFrame:
     return counts.filter(F.col("n") >= 2**least)
 
 
-def _number_misread(number: str) -> bool:
-    parts = number.strip().strip(".").split(".")
-    return bool(re.search(r"[A-Za-z|@+$]", number)) and all(re.fullmatch(r"[0-9OoQIlLiSsBbZz|]+", p) for p in parts) and any(re.search(r"[A-Za-z|]", p) for p in parts)
-
-
-def _title_page(title: str) -> bool:
-    return bool(LEADER.search(title))
-
-
 class Scans:
     """The fitted parts and the replacements of a collection; use ``found`` and ``repaired``."""
 
@@ -385,13 +436,14 @@ class Scans:
         self.base = base
         spark = rows.sparkSession
         counts = written(_counts(self.base), "scans-counts")
-        usual = counts.filter((F.col("n") >= FREQUENT) & F.col("form").rlike(r"^(?:[a-z]{2,}|9+(?:\.9+)*)$"))
+        usual = counts.filter((F.col("n") >= FREQUENT) & F.col("form").rlike(r"^(?:[a-z]{2,}|#?9+(?:\.9+)*)$"))
         frequent = [(r.form, r.n) for r in _most_frequent(usual, COMMON).orderBy(F.desc("n"), "form").limit(TRAIN_FORMS).collect()]
         self.replacements = written(_replacements(counts, _fit_ranker(frequent)), "scans-replacements")
         sound = _most_frequent(counts.join(self.replacements, "form", "left_anti"), COMMON)
         self.common = {r.form: r.n for r in sound.collect()}
         texts = [r.text for r in bounded(self.base.filter("text is not null").select("text"), TRAIN_ROWS)]
-        self.lines = _fit_lines([t.replace("\n", " ") for t in texts], self.common)
+        titles = [r.title for r in bounded(self.base.filter("title is not null").select("title"), TRAIN_ROWS)]
+        self.lines = _fit_lines([t.replace("\n", " ") for t in texts], titles, self.common)
         self.shared = spark.sparkContext.broadcast((self.common, self.lines))  # COMMON forms at most
 
     def _read(self, texts: bool = True) -> DataFrame:
@@ -404,14 +456,11 @@ class Scans:
             for pdf in it:
                 joined_texts, kinds = [], []
                 lined = lines.read([t or "" for t in pdf["text"]], common)
-                for (joined, k), title, number in zip(lined, pdf["title"], pdf["number"]):
+                paged = lines.paged(list(pdf["title"]))
+                for (joined, k), page in zip(lined, paged):
                     joined_texts.append(joined)
-                    if title and _title_page(title):
-                        k.add("page_number")
-                    if number and _number_misread(number):
-                        k.add("misread")
-                    kinds.append(sorted(k))
-                heads = [LEADER.sub("", t) if t else "" for t in pdf["title"]]
+                    kinds.append(sorted(k | {"page_number"} if page else k))
+                heads = [(_END.match(t)[1] if page else t) if t else "" for t, page in zip(pdf["title"], paged)]
                 flat, row = _token_lists([f"{h}\n{t}" for h, t in zip(heads, joined_texts)])
                 code, uniques = pd.factorize(flat)
                 fs = [form(u) for u in uniques]
@@ -419,19 +468,21 @@ class Scans:
                 odd: list[set] = [set() for _ in range(len(pdf))]
                 for r, c in zip(row[unknown[code]], code[unknown[code]]) if len(code) else ():
                     odd[r].add(fs[c])
-                for o, h in zip(odd, heads):
+                for o, h, number in zip(odd, heads, pdf["number"]):
                     # a heading that was cut ends in the beginning of a word, which is no misread one
                     if o and h and (last := form(h.split()[-1]) if h.split() else "") in prefixes and last.isalpha():
                         o.discard(last)
+                    if number and (f := number_form(number)) and f not in common:
+                        o.add(f)
                 if not whole:
                     yield pd.DataFrame({"block_id": pdf["block_id"], "kinds": kinds, "odd": [sorted(o) for o in odd]})
                     continue
-                yield pd.DataFrame({"block_id": pdf["block_id"], "number": pdf["number"], "title": pdf["title"], "text": pdf["text"], "joined": joined_texts, "kinds": kinds, "odd": [sorted(o) for o in odd]})
+                yield pd.DataFrame({"block_id": pdf["block_id"], "number": pdf["number"], "title": pdf["title"], "head": [None if t is None else h.strip() for t, h in zip(pdf["title"], heads)], "text": pdf["text"], "joined": joined_texts, "kinds": kinds, "odd": [sorted(o) for o in odd]})
 
         kind = self.base.schema["block_id"].dataType.simpleString()
         if not texts:
             return self.base.mapInPandas(read, f"block_id {kind}, kinds array<string>, odd array<string>")
-        return self.base.mapInPandas(read, f"block_id {kind}, number string, title string, text string, joined string, kinds array<string>, odd array<string>")
+        return self.base.mapInPandas(read, f"block_id {kind}, number string, title string, head string, text string, joined string, kinds array<string>, odd array<string>")
 
     def found(self) -> DataFrame:
         """(block_id, noise), each once."""
@@ -453,16 +504,16 @@ class Scans:
                 out = []
                 for r in pdf.itertuples(index=False):
                     change = dict(r.map) if r.map is not None else {}
-                    title = None if r.title is None else _swap(LEADER.sub("", r.title).strip(), change)
+                    title = None if r.head is None else _swap(r.head, change)
                     text = None if r.text is None else re.sub(r"\s+", " ", _swap(r.joined, change)).strip()
                     number = r.number
-                    if number and _number_misread(number):
+                    if number and number_form(number) in change:
                         number = number.translate(_DIGITS)
                     out.append((r.block_id, number, title, text))
                 yield pd.DataFrame(out, columns=["block_id", "number", "title", "text"])
 
         kind = self.base.schema["block_id"].dataType.simpleString()
-        return r.join(maps, "key", "left").select("block_id", "number", "title", "text", "joined", "map").mapInPandas(mend, f"block_id {kind}, number string, title string, text string").distinct()
+        return r.join(maps, "key", "left").select("block_id", "number", "head", "text", "joined", "map").mapInPandas(mend, f"block_id {kind}, number string, title string, text string").distinct()
 
 
 _DIGITS = str.maketrans("OoQIlLi|SsBbZz", "00011111558622")

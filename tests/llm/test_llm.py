@@ -42,7 +42,10 @@ def edited(rng, words, vocab):
 @pytest.mark.parametrize("k,t,least", [(3, 0.6, 40), (5, 0.8, 5)])
 def test_similar_pairs_equal_brute_force(spark, k, t, least, monkeypatch):
     monkeypatch.setattr(sigtree, "HOT", 6)  # slices of hot shingles too
-    monkeypatch.setattr(sigtree, "SKETCH_BITS", 16)
+    monkeypatch.setattr(sigtree, "SLICE", 2)  # slices of classes of equal texts
+    monkeypatch.setattr(sigtree, "SHARES", 30)
+    if k == 5:
+        monkeypatch.setattr(sigtree, "FILTER_BITS", 10)  # too small for the candidates: they meet the texts in a join
     rng = random.Random(5)
     vocab = [f"w{i}" for i in range(60)]
     rows = []
@@ -274,6 +277,25 @@ def test_broken_pairs(spark):
     assert pairs.broken_pairs(df.limit(0)).count() == 0
 
 
+def test_long_answers_are_tagged_whole():
+    rng = np.random.default_rng(4)
+    w, tr = rng.standard_normal((len(pairs.FEATURES), pairs.TAGS)), 3 * rng.standard_normal((pairs.TAGS, pairs.TAGS))
+    seq = [[int(x)] for x in rng.integers(0, len(pairs.FEATURES), 300)]
+    tags = pairs._viterbi([seq, seq[:3], []], (w, tr))
+    best = w[seq[0]].sum(0)
+    for f in seq[1:]:
+        best = (best[:, None] + tr).max(0) + w[f].sum(0)
+    score = sum(w[f].sum(0)[t] for f, t in zip(seq, tags[0])) + sum(tr[a, b] for a, b in zip(tags[0], tags[0][1:]))
+    assert len(tags[0]) == 300 and len(tags[1]) == 3 and len(tags[2]) == 0 and abs(score - best.max()) < 1e-9
+
+
+def test_fit_rows_of_repeated_texts(spark):
+    from codexgrid.llm.sampling import bounded
+
+    df = spark.createDataFrame([(f"t{i % 40}",) for i in range(4000)], "t string")
+    assert len(bounded(df, 20)) == 20 and len(bounded(df, 100)) == 40 and len(bounded(df, 30, F.col("t") > "t2")) == 27
+
+
 def test_crf_learns_transitions():
     seqs = [[[pairs._AT["bias"]], [pairs._AT["sorry"]]], [[pairs._AT["bias"]], [pairs._AT["han"]]]] * 20
     model = pairs._fit(seqs, [[1, 1], [0, 0]] * 20)
@@ -313,6 +335,14 @@ def test_alignment(spark):
     assert alignment.aligned_sentences(df.limit(0)).count() == 0
 
 
+def test_nearest_in_blocks(monkeypatch):
+    monkeypatch.setattr(alignment, "BLOCK", 7)
+    rng = np.random.default_rng(3)
+    a, b = rng.standard_normal((20, 5)), rng.standard_normal((33, 5))
+    at, best = alignment._nearest(a, b)
+    assert at.tolist() == (a @ b.T).argmax(1).tolist() and np.allclose(best, (a @ b.T).max(1))
+
+
 def test_warping_is_monotone_and_whole():
     rng = np.random.default_rng(1)
     a = rng.standard_normal((40, 8))
@@ -346,6 +376,8 @@ def test_scans(spark):
         (1007, "1.2", "Marking", good.replace("self-locking", "self-\nlocking", 1), set()),
         (1008, "1.2", "Mark1ng", good, {"misread"}),
         (1009, None, None, None, set()),
+        (1012, "1.2", "Marking of Annex 12", good, set()),
+        (1013, "1.2", "Marking", good.replace("accordance", "x" * 300 + " accordance", 1), set()),
         (1010, "", "", "", set()),
     ]
     df = spark.createDataFrame([*rows, *[(*b[:4], None, None) for b in bad], (None, "1", "x", "y", None, None), (*bad[1][:4], None, None)], SCAN)
