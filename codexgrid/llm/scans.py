@@ -366,7 +366,8 @@ def _replacements(counts: DataFrame, ranker: Boosted | None) -> DataFrame:
     usual = counts.filter((F.col("n") >= FREQUENT) & (F.length("form") >= 2) & (F.col("form").rlike("^[a-z]+$") | F.col("form").rlike(r"^#?9+(?:\.9+)*$")))
     top = usual.agg(F.max("n")).first()[0] or 0
     times = lambda c: F.when(c.startswith("#"), RATIO_NUMBERS).when(c.startswith("9"), RATIO_FIGURES).otherwise(RATIO)
-    rare = counts.filter((F.col("n") * times(F.col("form")) <= F.lit(top)) & (F.length("form") >= 2))
+    # a shape of figures alone is a sound number, however rare
+    rare = counts.filter((F.col("n") * times(F.col("form")) <= F.lit(top)) & (F.length("form") >= 2) & ~F.col("form").rlike(r"^#?9+(?:\.9+)*$"))
     # bigram, place and length are the key; the frequent forms, far fewer, are put at all places and lengths that a rare form may have
     a = rare.select("form", "n", F.length("form").alias("len"), F.explode(F.expr(_grams("form"))).alias("x")).select("form", "n", "len", "x.g", "x.at")
     b = usual.select(F.col("form").alias("cand"), F.col("n").alias("nc"), F.explode(F.expr(_grams("form"))).alias("x"), F.expr("sequence(greatest(length(form) - 2, 2), length(form) + 2)").alias("lens"))
