@@ -111,6 +111,23 @@ n AS (SELECT block_id, count(*) AS n FROM t GROUP BY block_id),
 c AS (SELECT a.block_id AS a, b.block_id AS b, count(*) AS k FROM t a JOIN t b ON a.g = b.g AND a.block_id < b.block_id GROUP BY ALL)
 SELECT c.a AS block_id_a, c.b AS block_id_b FROM c JOIN n x ON x.block_id = c.a JOIN n y ON y.block_id = c.b WHERE c.k * 10 >= 6 * (x.n + y.n - c.k)
 """
+def _records_sql(k: int, tenths: int, least: int) -> str:
+    """Classes of equal texts and links between different ones, by counting common shingles."""
+    shingle = " || ' ' || ".join(["w[i]", *(f"w[i + {j}]" for j in range(1, k))])
+    return rf"""
+WITH r AS (SELECT block_id, any_value(title) AS title, any_value(text) AS text FROM structured WHERE coalesce(type, '') <> 'image' GROUP BY block_id),
+d AS (SELECT block_id, regexp_extract_all(lower(coalesce(title, '') || ' ' || coalesce(text, '')), '[\p{{L}}\p{{N}}]+') AS w FROM r),
+m AS (SELECT block_id, w, min(block_id) OVER (PARTITION BY w) AS class_id, count(*) OVER (PARTITION BY w) AS class_size FROM d WHERE len(w) >= {least}),
+t AS (SELECT DISTINCT class_id, {shingle} AS g FROM (SELECT class_id, w, unnest(range(1, len(w) - {k - 2})) AS i FROM m WHERE block_id = class_id)),
+n AS (SELECT class_id, count(*) AS n FROM t GROUP BY class_id),
+c AS (SELECT a.class_id AS a, b.class_id AS b, count(*) AS k FROM t a JOIN t b ON a.g = b.g AND a.class_id <> b.class_id GROUP BY ALL),
+l AS (SELECT c.a, count(*) AS n_links FROM c JOIN n x ON x.class_id = c.a JOIN n y ON y.class_id = c.b WHERE c.k * 10 >= {tenths} * (x.n + y.n - c.k) GROUP BY c.a)
+SELECT block_id, class_id, class_size, coalesce(n_links, 0) AS n_links FROM m LEFT JOIN l ON l.a = m.class_id
+"""
+
+
+SQL["p3_classes"] = _records_sql(3, 6, 40)
+SQL["p3_records"] = _records_sql(5, 8, 5)
 SQL["p7_found"] = r"""
 WITH i AS (SELECT item_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FROM eval_items), d AS (SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FROM documents),
 gi AS (SELECT DISTINCT item_id, array_to_string(w[k : k + 12], ' ') AS g FROM (SELECT item_id, w, unnest(range(1, len(w) - 11)) AS k FROM i WHERE len(w) >= 13)),

@@ -34,9 +34,9 @@ FILTER_BITS = 27  # at most
 KEY_BITS = 16  # of the filter for each key
 FANOUT = 8
 HOT = 100_000  # records of one shingle beyond which its subtree is sliced
-POSTINGS_PER_BUCKET = 400_000
+POSTINGS_PER_BUCKET = 1_000_000
 FRONTIER = 1 << 14
-BITS_A_SHINGLE = 4  # width of the bitmaps over the mean size of a record
+BITS_A_SHINGLE = 2  # width of the bitmaps over the mean size of a record
 STEP = 1 << 20  # characters handled at once in a task
 SLICE = 1000  # members of a class of equal texts that one task pairs with as many
 SHARES = 1000  # a class that holds a SHARES-th of all records is looked up by broadcast
@@ -175,31 +175,37 @@ def _postings(docs: DataFrame, k: int, t: float, least: int, sketch: np.ndarray,
                     continue
                 recs, at = np.unique(row[a:b], return_inverse=True)
                 out_b.append(int(bucket[a]))
+                few, low = (np.dtype(f"u{k}") for k in (_bytes(n.max()), _bytes(rank.max())))
                 out.append(
-                    np.array([len(recs), b - a, n.max() >= 1 << 16], np.uint32).tobytes() + key[recs].tobytes() + sig[recs].tobytes() + n[recs].astype(np.uint32).tobytes() + tok[a:b].astype(np.uint32).tobytes() + at.astype(np.uint16 if len(recs) < 1 << 16 else np.uint32).tobytes() + rank[a:b].astype(np.uint32 if n.max() >= 1 << 16 else np.uint16).tobytes()
+                    np.array([len(recs), b - a, few.itemsize, low.itemsize], np.uint32).tobytes() + key[recs].tobytes() + sig[recs].tobytes() + n[recs].astype(few).tobytes() + tok[a:b].astype(np.uint32).tobytes() + at.astype(np.uint16 if len(recs) < 1 << 16 else np.uint32).tobytes() + rank[a:b].astype(low).tobytes()
                 )
             yield pd.DataFrame({"bucket": out_b, "body": out})
 
-    return docs.select("text").mapInPandas(pack, "bucket int, body binary").repartition(buckets, "bucket")  # as many tasks as buckets, however many there are
+    return docs.select("text").mapInPandas(pack, "bucket int, body binary").repartitionById(buckets, "bucket")  # a task for each bucket, however many there are
+
+
+def _bytes(most: int) -> int:
+    return 1 if most < 1 << 8 else 2 if most < 1 << 16 else 4
 
 
 def _unpack(bodies: list[bytes], words: int):
     key, sig, n, tok, rec, rank, base = [], [], [], [], [], [], 0
     for b in bodies:
-        r, p, long_ = (int(x) for x in np.frombuffer(b, np.uint32, 3))
-        at = 12
-        key.append(np.frombuffer(b, np.int64, r, at))
-        at += 8 * r
-        sig.append(np.frombuffer(b, np.uint64, r * words, at).reshape(r, words))
-        at += 8 * r * words
-        n.append(np.frombuffer(b, np.uint32, r, at))
-        at += 4 * r
-        tok.append(np.frombuffer(b, np.uint32, p, at))
-        at += 4 * p
-        kind = np.dtype(np.uint16 if r < 1 << 16 else np.uint32)
-        rec.append(np.frombuffer(b, kind, p, at).astype(np.int64) + base)
-        at += kind.itemsize * p
-        rank.append(np.frombuffer(b, np.uint32 if long_ else np.uint16, p, at).astype(np.int32))
+        r, p, few, low = (int(x) for x in np.frombuffer(b, np.uint32, 4))
+        at = 16
+
+        def take(kind: str, count: int) -> np.ndarray:
+            nonlocal at
+            out = np.frombuffer(b, kind, count, at)
+            at += out.nbytes
+            return out
+
+        key.append(take("i8", r))
+        sig.append(take("u8", r * words).reshape(r, words))
+        n.append(take(f"u{few}", r).astype(np.uint32))
+        tok.append(take("u4", p))
+        rec.append(take("u2" if r < 1 << 16 else "u4", p).astype(np.int64) + base)
+        rank.append(take(f"u{low}", p).astype(np.int32))
         base += r
     return tuple(map(np.concatenate, (key, sig, n, tok, rec, rank)))
 
@@ -261,8 +267,8 @@ def _dual(levels: list[_Level], t: float) -> Iterator[tuple[np.ndarray, np.ndarr
 
 
 def _candidates(posts: DataFrame, t: float, width: int) -> DataFrame:
-    def join(pdf: pd.DataFrame) -> pd.DataFrame:
-        key, sig, n, tok, rec, rank = _unpack(list(pdf["body"]), width // 64)
+    def join(bodies: list[bytes]) -> pd.DataFrame:
+        key, sig, n, tok, rec, rank = _unpack(bodies, width // 64)
         _, first, same = np.unique(key, return_index=True, return_inverse=True)
         rec = first[same[rec]]
         n = n.astype(np.int32)
@@ -283,7 +289,15 @@ def _candidates(posts: DataFrame, t: float, width: int) -> DataFrame:
         pairs = np.unique(np.concatenate(found), axis=0) if found else np.empty((0, 2), np.int64)
         return pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]})
 
-    return posts.groupBy("bucket").applyInPandas(join, "a long, b long").distinct()
+    def joined(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        by_bucket: dict[int, list[bytes]] = {}  # one, as a task has one bucket
+        for pdf in it:
+            for k, body in zip(pdf["bucket"].tolist(), pdf["body"]):
+                by_bucket.setdefault(k, []).append(body)
+        for bodies in by_bucket.values():
+            yield join(bodies)
+
+    return posts.mapInPandas(joined, "a long, b long").distinct()
 
 
 def _key_filter(keys: DataFrame, bits: int) -> np.ndarray:
@@ -319,7 +333,7 @@ def similar_classes(docs: DataFrame, k: int, t: float, least: int) -> DataFrame:
     sketch, total, texts = _sketch(docs, k, least)
     if not texts:
         return spark.createDataFrame([], "k1a long, k2a long, k1b long, k2b long, likeness double")
-    width = 1 << max(8, math.ceil(math.log2(BITS_A_SHINGLE * total / texts + 1)))
+    width = 1 << max(7, round(math.log2(BITS_A_SHINGLE * total / texts + 1)))
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil((1 - t) * total / POSTINGS_PER_BUCKET))
     cand = written(_candidates(_postings(docs, k, t, least, sketch, width, buckets), t, width), "sigtree-candidates")
     keys = cand.select(F.explode(F.array("a", "b")).alias("k1")).distinct()
