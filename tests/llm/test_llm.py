@@ -106,6 +106,10 @@ def test_pieces_round_trip(spark):
         assert mine[0].start_token == 0 and mine[-1].end_token == len(ends) - 1
         for r in mine:
             assert r.n_tokens <= 300 and data[ends[r.start_token] : ends[r.end_token]].decode() == r.piece
+        strong = splitting.strengths(data, ends[1:])
+        for r in mine[:-1]:  # no boundary of the window is stronger, and none as strong lies further right
+            window = strong[r.start_token + 149 : r.start_token + 300]
+            assert r.strength == window.max() and not (strong[r.end_token : r.start_token + 300] >= r.strength).any()
         for a, b in zip(mine, mine[1:]):
             assert 20 <= a.end_token - b.start_token <= 23 and b.end_token > a.end_token
     assert {r.strength for r in got if r.doc_id == 0 and r.piece_no < r.n_pieces} <= {splitting.PARAGRAPH, splitting.SENTENCE}
