@@ -82,9 +82,9 @@ def natural_version(version: Column) -> Column:
 # text --------------------------------------------------------------------------------------------------------------
 
 
-def clean_text(text: Column) -> Column:
-    """Footnote marks off, each line stripped, blank lines dropped, the rest joined by single blanks."""
-    lines = F.split(F.regexp_replace(text, r"(?md)^\s*\d+\)\s+", ""), r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85  ]")
+def clean_text(text: Column, footnotes: bool = True) -> Column:
+    """Footnote marks off (if asked), each line stripped, blank lines dropped, the rest joined by single blanks."""
+    lines = F.split(F.regexp_replace(text, r"(?md)^\s*\d+\)\s+", "") if footnotes else text, r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85  ]")
     return F.array_join(F.filter(F.transform(lines, strip), lambda x: x != ""), " ")
 
 
@@ -149,11 +149,6 @@ def noise_title(title: Column) -> Column:
     return t.rlike(NOISE_TITLE) | ~t.rlike("[A-Za-z]{3,}") | (F.length(without_leader(t)) > 100)
 
 
-def document_mark(title: Column) -> Column:
-    """The title of a page header that carries the document's symbol."""
-    return text0(title).rlike(r"^(?:E/)?ECE/")
-
-
 def toc_overflow(text: Column) -> Column:
     """A table-of-contents line whose leader ran into the text: text without colon, four dots or more, perhaps a page number."""
     return text0(text).rlike(r"(?s)^[^:]*?\.{4,}(?:\s*\d{1,3})?\s*$")

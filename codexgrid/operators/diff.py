@@ -7,6 +7,8 @@ similarity join and is matched one to one, best pairs first.
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -16,24 +18,40 @@ from codexgrid.plans.materialize import written
 
 MOVED = 0.92
 MODIFIED = 0.50
+GATHERED = 200_000  # pairs of a document that one task matches
 
 
 def best_first(pairs: DataFrame, keys: list[str]) -> DataFrame:
     """The one-to-one pairs that taking the best pair again and again gives (ties: lower left, then right id).
 
-    A pair that is the best of both its ends is in the result whatever the
-    others are; those are taken, their ends removed, and so on. No group is
-    gathered in one task.
+    Documents of at most GATHERED pairs are matched in one task each. Of larger
+    ones no group is gathered: a pair that is the best of both its ends is in
+    the result whatever the others are; those are taken, their ends removed, and
+    so on.
     """
+    pairs = written(pairs, "matching")
+    size = pairs.groupBy(*keys).agg(F.count("*").alias("_size"))
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pairs.schema)
+
+    def greedy(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["similarity", "left_id", "right_id"], ascending=[False, True, True], kind="stable")
+        left, right, keep = set(), set(), []
+        for i, j in zip(pdf["left_id"].tolist(), pdf["right_id"].tolist()):
+            keep.append(i not in left and j not in right)
+            if keep[-1]:
+                left.add(i)
+                right.add(j)
+        return pdf[np.asarray(keep, bool)]
+
+    done = pairs.join(size.filter(F.col("_size") <= GATHERED).select(*keys), keys, "left_semi").select(*pairs.columns).groupBy(*keys).applyInPandas(greedy, fields)
+    left = pairs.join(size.filter(F.col("_size") > GATHERED).select(*keys), keys, "left_semi").select(*pairs.columns)
     rank = F.struct(F.col("similarity"), -F.col("left_id"), -F.col("right_id"))
-    left, done = written(pairs, "matching"), None
-    while True:
+    while not left.isEmpty():
         l, r = Window.partitionBy(*keys, "left_id"), Window.partitionBy(*keys, "right_id")
         won = written(left.withColumn("_r", rank).withColumn("_l", F.max("_r").over(l)).withColumn("_m", F.max("_r").over(r)).filter("_r = _l and _r = _m").drop("_r", "_l", "_m"), "matched")
-        if won.isEmpty():
-            return left.limit(0) if done is None else done
-        done = won if done is None else done.unionByName(won)
+        done = done.unionByName(won)
         left = written(left.join(won.select(*keys, "left_id"), [*keys, "left_id"], "left_anti").join(won.select(*keys, "right_id"), [*keys, "right_id"], "left_anti"), "matching")
+    return done
 
 
 def diff(old: DataFrame, new: DataFrame, keys: list[str], fuzzy: bool = True) -> DataFrame:

@@ -45,10 +45,26 @@ def user_prompt(number: Column, title: Column, text: Column) -> Column:
     return F.format_string("段落番号: %s\nタイトル: %s\n本文:\n%s", B.text0(number), B.text0(title), B.text0(text))
 
 
+def system_prompt(glossary_block: Column) -> Column:
+    """What every call says first: the task and the terms to use."""
+    return F.format_string("あなたは車両法規の専門翻訳者です。次の用語集に従って翻訳してください。\n\n%s", B.text0(glossary_block))
+
+
+def preview(targets: DataFrame, n: int = 20) -> DataFrame:
+    """What a run would take: the first ``n`` targets in order, each with ``n_more``, the number of the others."""
+    more = targets.agg(F.greatest(F.count("*") - n, F.lit(0)).alias("n_more"))
+    return targets.orderBy(*DOC, "pos").limit(n).join(F.broadcast(more))  # one row
+
+
 def reply_json(reply: Column, schema: str) -> Column:
-    """The object in a reply, whatever fence or words surround it; null where there is none."""
+    """The object in a reply, whatever fence or words surround it, its strings stripped; null where there is none.
+
+    ``schema`` names its fields, all strings or numbers.
+    """
     body = F.regexp_extract(B.text0(reply), r"(?s)\{.*\}", 0)
-    return F.when(body != "", F.from_json(body, schema))
+    got = F.from_json(body, schema)
+    fields = [f.strip().split()[:2] for f in schema.split(",")]
+    return F.when((body != "") & got.isNotNull(), F.struct(*[(B.strip(got[n]) if kind.lower() == "string" else got[n]).alias(n) for n, kind in fields]))
 
 
 class Throttled(Exception):
@@ -76,34 +92,30 @@ def patient(call: Callable[[list[dict]], list[dict]], retries: int = 3, pause: C
 
 
 def enriched(targets: DataFrame, call: Callable[[list[dict]], list[dict]], size: int, fields: tuple[str, ...]) -> DataFrame:
-    """regulation, version, pos, the fields and result (done or error): the answers of ``call`` to batches of rows, by position.
+    """regulation, version, pos, the fields and result (done or error): the answers of ``call`` to the batches of each document, by position.
 
     A batch that fails is an error of its rows; the others go on. Answers are
     keyed by position, so equal numbers or identities don't share one. The
-    callable gets at most ``size`` rows (dicts of pos, number, title, text) and
-    returns as many dicts in the same order.
+    callable gets at most ``size`` rows of one document, in order (dicts of pos,
+    number, title, text), and returns as many dicts in the same order.
     """
-    d = targets.select(*DOC, "pos", "number", "title", "text")
+    d = batches(targets.select(*DOC, "pos", "number", "title", "text"), size)
     schema = "regulation string, version string, pos int, " + ", ".join(f"{f} string" for f in fields) + ", result string"
 
-    def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in it:
-            out = []
-            rows = pdf.to_dict("records")
-            for a in range(0, len(rows), size):
-                part = rows[a : a + size]
-                try:
-                    got = call([{k: r[k] for k in ("pos", "number", "title", "text")} for r in part])
-                    ok = len(got) == len(part)
-                except Exception:  # a failed call is recorded, not fatal
-                    got, ok = [], False
-                for k, r in enumerate(part):
-                    values = [(str(got[k][f]).strip() if ok and got[k].get(f) else None) for f in fields]
-                    done = ok and any(v is not None for v in values)
-                    out.append((r["regulation"], r["version"], r["pos"], *values, "done" if done else "error"))
-            yield pd.DataFrame(out, columns=["regulation", "version", "pos", *fields, "result"])
-
-    return d.mapInPandas(run, schema)
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        rows = pdf.sort_values("pos").to_dict("records")
+        try:
+            got = call([{k: r[k] for k in ("pos", "number", "title", "text")} for r in rows])
+            ok = len(got) == len(rows)
+        except Exception:  # a failed call is recorded, not fatal
+            got, ok = [], False
+        out = []
+        for k, r in enumerate(rows):
+            values = [(str(got[k][f]).strip() if ok and got[k].get(f) else None) for f in fields]
+            out.append((r["regulation"], r["version"], r["pos"], *values, "done" if ok and any(v is not None for v in values) else "error"))
+        return pd.DataFrame(out, columns=["regulation", "version", "pos", *fields, "result"])
+
+    return d.groupBy(*DOC, "batch_no").applyInPandas(run, schema)
 
 
 def written_back(rows: DataFrame, results: DataFrame, fields: tuple[str, ...], status: bool = True) -> DataFrame:

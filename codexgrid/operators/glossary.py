@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -25,14 +26,22 @@ def japanese_terms(glossary: DataFrame) -> DataFrame:
     return g.groupBy("regulation", "ja").agg(F.min(F.struct(B.text0(F.col("term")).alias("term"), note.alias("definition"), B.text0(F.col("paragraph_ref")).alias("paragraph_ref"))).alias("x")).select("regulation", "ja", "x.*")
 
 
+@lru_cache(maxsize=256)
+def _patterns(terms: tuple[str, ...], ignore_case: bool, whole_words: bool) -> list[tuple[str, re.Pattern]]:
+    """The terms, longest first, with their patterns; compiled once for each list."""
+    edge = r"\b" if whole_words else ""
+    return [(t, re.compile(edge + re.escape(t) + edge, re.I if ignore_case else 0)) for t in sorted(set(terms), key=lambda t: (-len(t), t)) if t]
+
+
 def spans(text: str, terms: list[str], ignore_case: bool, whole_words: bool = False) -> list[tuple[int, int, str]]:
     """(start, end, term) of the occurrences, the longest term first, none overlapping, in order of place."""
-    taken: list[tuple[int, int, str]] = []
-    for term in sorted(set(terms), key=lambda t: (-len(t), t)):
-        edge = r"\b" if whole_words else ""
-        for m in re.finditer(edge + re.escape(term) + edge, text, re.I if ignore_case else 0):
-            if m.end() > m.start() and all(m.end() <= a or m.start() >= b for a, b, _ in taken):
-                taken.append((m.start(), m.end(), term))
+    free, taken = bytearray(len(text)), []
+    for term, pattern in _patterns(tuple(terms), ignore_case, whole_words):
+        for m in pattern.finditer(text):
+            a, b = m.span()
+            if not any(free[a:b]):
+                free[a:b] = b"\1" * (b - a)
+                taken.append((a, b, term))
     return sorted(taken)
 
 

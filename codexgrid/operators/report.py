@@ -12,9 +12,12 @@ from codexgrid.operators.ordered import DOC
 from codexgrid.plans.materialize import written
 
 
-def current(rows: DataFrame) -> DataFrame:
-    """Rows given again once, as loaded last (ties: any, they are equal)."""
-    others = [c for c in rows.columns if c != "block_id"]
+def current(rows: DataFrame, *columns: str) -> DataFrame:
+    """``block_id`` and the columns named (default: all) of rows given again once, as loaded last (ties: any, they are equal).
+
+    Only the columns named are read and shuffled.
+    """
+    others = [c for c in (columns or rows.columns) if c != "block_id"]
     return rows.groupBy("block_id").agg(F.max_by(F.struct(*others), "loaded_at").alias("x")).select("block_id", *(F.col("x")[c].alias(c) for c in others))
 
 
@@ -73,18 +76,26 @@ def page_model(rows: DataFrame, pending: DataFrame, glossary: DataFrame, version
     """The rows of pages, annotated in the order that later steps need: contents, noise, annexes, parts, references, first rows, terms.
 
     Inserted additions are never noise. ``versions`` gives titles of annexes
-    (annex_titles). One row a block; the sink orders by document and pos.
+    (annex_titles). Also the dividers between annexes and chapters, the titles of
+    annexes and, on the first row of a chapter, the chapters passed over before
+    it. One row a block; the sink orders by document and pos.
     """
     d = written(proposals.inserted(proposals.attached(rows, pending), pending), "page-rows")
-    last = written(structure.last_chapters(d), "page-chapters")
+    chapters = written(structure.chapters(d), "page-chapters")
+    last = structure.last_chapters(d, chapters)
+    annexes = written(structure.annex_tree(d, versions), "page-annexes")
     contents = written(structure.contents_rows(d, versions), "page-contents")
     d = noise.marked(d).join(contents.withColumn("_contents", F.lit(True)), [*DOC, "pos"], "left")
     d = d.withColumn("nav_hidden", (F.col("nav_hidden") | F.coalesce("_contents", F.lit(False))) & ~F.col("proposal_only")).drop("_contents")
     d = written(structure.in_annex(written(d, "page-noise")), "page-annex")
     d = written(structure.annex_ids(d, last), "page-ids")
     d = written(structure.annex_parts(written(structure.annex_page_noise(d), "page-footnotes")), "page-parts")
-    d = structure.first_occurrence(d)
+    d = written(structure.first_occurrence(d), "page-first")
+    gaps = structure.chapter_gaps(d, chapters.filter(~F.col("toc_row"))).select(*DOC, "pos", F.col("missing").alias("gap_chapters"))
+    marks = structure.dividers(d).select(*DOC, "pos", "divider")
+    titles = annexes.select(*DOC, "annex", F.col("title").alias("annex_title"), F.col("title_ja").alias("annex_title_ja"))
     refs = references.resolved(d).groupBy(*DOC, "pos").agg(F.array_sort(F.collect_list(F.struct("ref_no", "number", "annex", "target_uid", "target_summary"))).alias("refs"))
+    d = d.join(gaps, [*DOC, "pos"], "left").join(marks, [*DOC, "pos"], "left").join(titles, [*DOC, "annex"], "left")
     d = written(d.join(refs, [*DOC, "pos"], "left"), "page-refs")
     d = _annotated(d, G.english_terms(glossary), "text", "term", True, "text_annotated")
     d = _annotated(d, G.japanese_terms(glossary), "translation", "ja", False, "translation_annotated")

@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import math
+from collections.abc import Iterator
 from difflib import SequenceMatcher
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 BLOCK = 256  # rows of either side in one task's block
+CLASSES = 64  # of characters, for the bound
 
 
 def ratio(a: str, b: str) -> float:
@@ -22,17 +26,35 @@ def ratio_udf(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([None if x is None or y is None else 1.0 if x == y else ratio(x, y) for x, y in zip(a, b)], dtype="float64")
 
 
-def at_least(a: str, b: str, t: float) -> float | None:
-    """The ratio if it reaches ``t``; cheaper bounds go first, which never exclude a pair that does."""
-    if a == b:
-        return 1.0
-    if 2 * min(len(a), len(b)) < t * (len(a) + len(b)):
-        return None
-    m = SequenceMatcher(None, a, b)
-    if m.quick_ratio() < t:
-        return None
-    r = m.ratio()
-    return r if r >= t else None
+def _histograms(texts: list[str]) -> np.ndarray:
+    """How often the characters of each of CLASSES classes occur in each text."""
+    out = np.zeros((len(texts), CLASSES), np.int32)
+    for i, t in enumerate(texts):
+        out[i] = np.bincount(np.frombuffer(t.encode("utf-32-le", "replace"), np.uint32) % CLASSES, minlength=CLASSES)
+    return out
+
+
+def ratios_at_least(left: list[str], right: list[str], t: float) -> Iterator[tuple[int, int, float]]:
+    """(place in left, place in right, ratio) of the pairs whose ratio(left, right) is at least ``t``.
+
+    A pair can't match more characters than both have of any class; what that
+    bound leaves is compared, each right text being indexed once.
+    """
+    size = np.asarray([len(x) for x in left])
+    have = _histograms(left)
+    m = SequenceMatcher(None)
+    for j, (text, h) in enumerate(zip(right, _histograms(right))):
+        most = np.minimum(have, h).sum(1)
+        some = np.flatnonzero(2 * most >= t * (size + len(text)) - 1e-9)
+        if len(some):
+            m.set_seq2(text)
+        for i in some:
+            if left[i] == text:
+                yield int(i), j, 1.0
+                continue
+            m.set_seq1(left[i])
+            if m.quick_ratio() >= t and (r := m.ratio()) >= t:
+                yield int(i), j, r
 
 
 def _blocked(df: DataFrame, other: DataFrame, keys: list[str], mine: str, theirs: str) -> DataFrame:
@@ -47,24 +69,27 @@ def _blocked(df: DataFrame, other: DataFrame, keys: list[str], mine: str, theirs
 def similar_texts(left: DataFrame, right: DataFrame, keys: list[str], t: float, ordered: bool = False) -> DataFrame:
     """Pairs (keys, left_id, right_id, similarity) of texts under equal keys whose ratio(left, right) is at least ``t``.
 
-    Both sides have the keys, ``id`` (a number) and ``text``. Hot keys are cut into
-    blocks of both sides; a task sees one pair of blocks and emits only what
-    reaches ``t``. ``ordered``: only left_id < right_id (a join with itself).
+    Both sides have the keys, ``id`` (a number) and ``text``. Texts whose lengths
+    differ too much for ``t`` never meet: lengths are put in bands so wide that
+    only the same and the next band can. Hot keys are cut into blocks of both
+    sides; a task sees one pair of blocks and emits only what reaches ``t``.
+    ``ordered``: only left_id < right_id (a join with itself).
     """
+    width = math.log((2.0 - t) / t)  # of the logarithms of two lengths that may still reach t
+    band = F.when(F.length("text") == 0, F.lit(-2)).otherwise(F.floor(F.log(F.greatest(F.length("text"), F.lit(1)).cast("double")) / F.lit(width))).cast("int")
     fresh = lambda d: d.select(*(F.col(k).alias(k) for k in keys), F.col("id").alias("id"), F.coalesce("text", F.lit("")).alias("text"))  # noqa: E731 (new columns: both sides may be one table)
-    a, b = fresh(left), fresh(right)
-    la, rb = _blocked(a, b, keys, "_bl", "_br"), _blocked(b, a, keys, "_br", "_bl")
+    a = fresh(left).withColumn("_band", F.explode(F.array(band - 1, band, band + 1)))
+    b = fresh(right).withColumn("_band", band)
+    at = [*keys, "_band"]
+    la, rb = _blocked(a, b, at, "_bl", "_br"), _blocked(b, a, at, "_br", "_bl")
     fields = ", ".join(f"`{k}` {left.schema[k].dataType.simpleString()}" for k in keys)
 
     def pairs(key: tuple, x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        for i, p in zip(x["id"], x["text"]):
-            for j, q in zip(y["id"], y["text"]):
-                if (not ordered or i < j) and (s := at_least(p, q, t)) is not None:
-                    out.append((*key[: len(keys)], i, j, s))
+        i, j = x["id"].tolist(), y["id"].tolist()
+        out = [(*key[: len(keys)], i[p], j[q], r) for p, q, r in ratios_at_least(x["text"].tolist(), y["text"].tolist(), t) if not ordered or i[p] < j[q]]
         return pd.DataFrame(out, columns=[*keys, "left_id", "right_id", "similarity"])
 
-    by = [*keys, "_bl", "_br"]
+    by = [*at, "_bl", "_br"]
     return la.groupBy(*by).cogroup(rb.groupBy(*by)).applyInPandas(pairs, f"{fields}, left_id long, right_id long, similarity double")
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from codexgrid.functions.text import squash, strip
+from codexgrid.plans.materialize import written
 
 
 def snapshot_changes(
@@ -41,7 +42,7 @@ def snapshot_changes(
         F.col(loaded).alias("at"),
         F.xxhash64(squash(F.coalesce(F.col(text), F.lit("")))).alias("h"),
     )
-    given = base.filter(F.col("g").isNotNull() & F.col("s").isNotNull())
+    given = written(base.filter(F.col("g").isNotNull() & F.col("s").isNotNull()), "snapshot-rows")  # keys and hashes; three steps read them
     order = given.select("g", "s").distinct()
     by_group = Window.partitionBy("g").orderBy("s")
     steps = order.select("g", "s", F.row_number().over(by_group).alias("i"), F.lead("s").over(by_group).alias("s_next"))

@@ -1,25 +1,20 @@
-"""Registered queries of the core and their SQL twins."""
+"""Registered queries of single operators of the core."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from codexgrid.functions import blocks as B
+from codexgrid.functions.text import WS
 from codexgrid.operators import diff as D
 from codexgrid.operators import enrich, glossary, noise, proposals, references, report, segment, structure
 from codexgrid.operators.ordered import DOC
 from codexgrid.operators.snapshots import snapshot_changes
 from codexgrid.plans.materialize import written
+from codexgrid.plans.registry import BLOCKS, COL, PARA, QUERIES, SNAPS, SQL, blocks, pending, register, snapshot_pairs, versions
 from codexgrid.sources.tables import table
 
-Query = Callable[[SparkSession, str], DataFrame]
-
-QUERIES: dict[str, Query] = {}
-SQL: dict[str, str] = {}
-
 
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return snapshot_changes(table(spark, sf_dir, "structured_snapshots"))
@@ -47,78 +42,36 @@ UNION ALL SELECT o.g, o.s, o.k, 'removed' FROM gone o WHERE NOT EXISTS (SELECT 1
 """
 
 
-def register(name: str, sql: str | None = None):
-    """Register a query under ``name`` with its SQL twin, if it has one."""
-
-    def put(f: Query) -> Query:
-        QUERIES[name] = f
-        if sql is not None:
-            SQL[name] = sql
-        return f
-
-    return put
-
-
-COL = F.col
-BLOCKS = "WITH b AS (SELECT * FROM structured QUALIFY row_number() OVER (PARTITION BY block_id ORDER BY loaded_at DESC) = 1)"
-PARA = f"{BLOCKS}, p AS (SELECT *, try_cast(split_part(number, '.', 1) AS INT) AS top, coalesce(type, 'paragraph') AS kind FROM b)"
-
-
-def blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return report.current(table(spark, sf_dir, "structured"))
-
-
-def versions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "doc_versions")
-
-
-def pending(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return proposals.latest(table(spark, sf_dir, "proposals"))
-
-
-def snapshot_pairs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    s = table(spark, sf_dir, "structured_snapshots")
-    s = s.withColumn("uid", F.lower(F.trim("uid"))).groupBy("regulation", "snap_no", "pos").agg(F.max_by(F.struct("uid", "number", "title", "text"), F.struct("loaded_at", "row_id")).alias("x")).select("regulation", "snap_no", "pos", "x.*")
-    return D.consecutive(s)
-
-
-SNAPS = """WITH s AS (SELECT regulation, snap_no, pos, lower(trim(uid)) AS uid, number, title, coalesce(text, '') AS text FROM structured_snapshots QUALIFY row_number() OVER (PARTITION BY regulation, snap_no, pos ORDER BY loaded_at DESC, row_id DESC) = 1),
-st AS (SELECT regulation, snap_no, lag(snap_no) OVER (PARTITION BY regulation ORDER BY snap_no) AS before FROM (SELECT DISTINCT regulation, snap_no FROM s)),
-n AS (SELECT s.* FROM s JOIN st USING (regulation, snap_no) WHERE before IS NOT NULL),
-o0 AS (SELECT s.regulation, st.snap_no, s.pos, s.uid, s.number, s.title, s.text FROM s JOIN st ON s.regulation = st.regulation AND s.snap_no = st.before),
-o AS (SELECT * FROM o0 QUALIFY row_number() OVER (PARTITION BY regulation, snap_no, uid ORDER BY pos DESC) = 1)"""
-
-
 @register("uid_projection", f"""{BLOCKS} SELECT block_id, regulation || '-' || substr(sha256(regulation || ':' || trim(regexp_replace(coalesce(text, ''), '[\\s\\x1c-\\x1f\\x85\\p{{Z}}]+', ' ', 'g'))), 1, 8) AS made_uid FROM b WHERE coalesce(type, '') <> 'image'""")
 def uid_projection(spark, sf_dir):
-    return blocks(spark, sf_dir).filter(B.kind(COL("type")) != "image").select("block_id", B.uid(COL("regulation"), COL("text")).alias("made_uid"))
+    return blocks(spark, sf_dir, "type regulation text").filter(B.kind(COL("type")) != "image").select("block_id", B.uid(COL("regulation"), COL("text")).alias("made_uid"))
 
 
 @register("level_parent", f"""{BLOCKS} SELECT block_id, length(number) - length(replace(number, '.', '')) + 1 AS made_level, CASE WHEN contains(number, '.') THEN regexp_extract(number, '^(.*)\\.[^.]*$', 1) END AS made_parent,
 list_transform(string_split(number, '.'), lambda x: try_cast(x AS INT)) AS parts FROM b WHERE number <> ''""")
 def level_parent(spark, sf_dir):
     n = COL("number")
-    return blocks(spark, sf_dir).filter("number <> ''").select("block_id", B.level(n).alias("made_level"), B.parent(n).alias("made_parent"), F.transform(F.split(n, r"\."), lambda x: x.try_cast("int")).alias("parts"))
+    return blocks(spark, sf_dir, "number").filter("number <> ''").select("block_id", B.level(n).alias("made_level"), B.parent(n).alias("made_parent"), F.transform(F.split(n, r"\."), lambda x: x.try_cast("int")).alias("parts"))
 
 
 @register("valid_numbers", f"{BLOCKS} SELECT block_id, coalesce(list_bool_and(list_transform(string_split(number, '.'), lambda x: coalesce(try_cast(x AS INT) >= 1, false))), false) AS valid FROM b WHERE number <> ''")
 def valid_numbers(spark, sf_dir):
-    return blocks(spark, sf_dir).filter("number <> ''").select("block_id", B.valid_number(COL("number")).alias("valid"))
+    return blocks(spark, sf_dir, "number").filter("number <> ''").select("block_id", B.valid_number(COL("number")).alias("valid"))
 
 
 @register("clean_texts", f"""{BLOCKS} SELECT block_id, array_to_string(list_filter(list_transform(string_split(regexp_replace(text, '(?m)^\\s*\\d+\\)\\s+', '', 'g'), chr(10)), lambda x: regexp_replace(x, '^[\\s\\x1c-\\x1f\\x85\\p{{Z}}]+|[\\s\\x1c-\\x1f\\x85\\p{{Z}}]+$', '', 'g')), lambda x: x <> ''), ' ') AS cleaned FROM b WHERE text IS NOT NULL""")
 def clean_texts(spark, sf_dir):
-    return blocks(spark, sf_dir).filter("text is not null").select("block_id", B.clean_text(COL("text")).alias("cleaned"))
+    return blocks(spark, sf_dir, "text").filter("text is not null").select("block_id", B.clean_text(COL("text")).alias("cleaned"))
 
 
 @register("page_headers_stripped", f"""{BLOCKS} SELECT block_id, regexp_replace(text, '(?mi)^(?:(?:E/)?ECE/[^\\n]*|(?:UN\\s+)?Regulation\\s+No\\.?\\s*\\d+\\s*|page\\s+\\d+\\s*)$', '', 'g') AS stripped FROM b WHERE text IS NOT NULL""")
 def page_headers_stripped(spark, sf_dir):
-    return blocks(spark, sf_dir).filter("text is not null").select("block_id", B.strip_page_headers(COL("text")).alias("stripped"))
+    return blocks(spark, sf_dir, "text").filter("text is not null").select("block_id", B.strip_page_headers(COL("text")).alias("stripped"))
 
 
 @register("titles_without_leader", f"{BLOCKS} SELECT block_id, regexp_replace(regexp_replace(coalesce(title, ''), '(?s)\\s*\\.{{4,}}.*', ''), '[. ]+$', '') AS heading FROM b")
 def titles_without_leader(spark, sf_dir):
-    return blocks(spark, sf_dir).select("block_id", B.without_leader(COL("title")).alias("heading"))
+    return blocks(spark, sf_dir, "title").select("block_id", B.without_leader(COL("title")).alias("heading"))
 
 
 @register("inline_lists", """SELECT doc_id, CASE WHEN contains(text, '(a)') AND regexp_matches(text, '\\([b-z]\\)') THEN regexp_replace(text, '([ 、。])\\(([b-z])\\)', '\\1<br>(\\2)', 'g') ELSE text END AS html FROM documents WHERE text IS NOT NULL""")
@@ -128,20 +81,20 @@ def inline_lists(spark, sf_dir):
 
 @register("short_summaries", f"{BLOCKS} SELECT block_id, CASE WHEN instr(summary_ja, '。') > 0 THEN substr(summary_ja, 1, instr(summary_ja, '。')) ELSE summary_ja END AS short FROM b WHERE summary_ja IS NOT NULL")
 def short_summaries(spark, sf_dir):
-    return blocks(spark, sf_dir).filter("summary_ja is not null").select("block_id", B.short_summary(COL("summary_ja")).alias("short"))
+    return blocks(spark, sf_dir, "summary_ja").filter("summary_ja is not null").select("block_id", B.short_summary(COL("summary_ja")).alias("short"))
 
 
 @register("noise_titles", f"""{BLOCKS} SELECT block_id, regexp_matches(coalesce(title, ''), '(?i)^Note by the secretariat\\b|(?:E/)?ECE/(?:TRANS/WP\\.29)?/\\S|TRANS/WP\\.29/\\S|^As defined in the Consolidated Resolution on the Construction of Vehicles\\b|^The distinguish(?:ing)? numbers? of the Contracting Parties\\b')
 OR NOT regexp_matches(coalesce(title, ''), '[A-Za-z]{{3,}}') OR length(regexp_replace(regexp_replace(coalesce(title, ''), '(?s)\\s*\\.{{4,}}.*', ''), '[. ]+$', '')) > 100 AS noise FROM b WHERE coalesce(type, '') <> 'image'""")
 def noise_titles(spark, sf_dir):
-    return blocks(spark, sf_dir).filter(B.kind(COL("type")) != "image").select("block_id", B.noise_title(COL("title")).alias("noise"))
+    return blocks(spark, sf_dir, "type title").filter(B.kind(COL("type")) != "image").select("block_id", B.noise_title(COL("title")).alias("noise"))
 
 
 @register("toc_rows", f"""{BLOCKS} SELECT block_id, regexp_matches(coalesce(text, ''), '(?s)^[^:]*?\\.{{4,}}(?:\\s*\\d{{1,3}})?\\s*$') AS overflow,
 length(trim(regexp_replace(regexp_replace(regexp_replace(coalesce(text, ''), '[.…]{{2,}}', ' ', 'g'), '\\s+\\d+\\s*$', ''), '\\s+', ' ', 'g'))) <= length(trim(regexp_replace(regexp_replace(regexp_replace(coalesce(title, ''), '[.…]{{2,}}', ' ', 'g'), '\\s+\\d+\\s*$', ''), '\\s+', ' ', 'g'))) + 20 AS toc_like
 FROM b WHERE coalesce(type, '') <> 'image'""")
 def toc_rows(spark, sf_dir):
-    return blocks(spark, sf_dir).filter(B.kind(COL("type")) != "image").select("block_id", B.toc_overflow(COL("text")).alias("overflow"), B.toc_like(COL("title"), COL("text")).alias("toc_like"))
+    return blocks(spark, sf_dir, "type title text").filter(B.kind(COL("type")) != "image").select("block_id", B.toc_overflow(COL("text")).alias("overflow"), B.toc_like(COL("title"), COL("text")).alias("toc_like"))
 
 
 @register("monotone_numbers", f"""{BLOCKS}, p AS (SELECT regulation, version, pos, list_transform(string_split(number, '.'), lambda x: try_cast(x AS INT)) AS num FROM b WHERE coalesce(type, '') <> 'image'),
@@ -149,14 +102,14 @@ q AS (SELECT * FROM p WHERE len(list_filter(num, lambda x: x IS NULL)) = 0), l A
 i AS (SELECT *, sum(CASE WHEN before IS NULL OR before <> num[1] THEN 1 ELSE 0 END) OVER (PARTITION BY regulation, version ORDER BY pos) AS island FROM l)
 SELECT regulation, version, pos, coalesce(num >= max(num) OVER (PARTITION BY regulation, version, island ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), true) AS accepted FROM i""")
 def monotone_numbers(spark, sf_dir):
-    d = blocks(spark, sf_dir).filter(B.kind(COL("type")) != "image").select(*DOC, "pos", "number").filter(B.path(COL("number")).isNotNull())
+    d = blocks(spark, sf_dir, "regulation version pos type number").filter(B.kind(COL("type")) != "image").select(*DOC, "pos", "number").filter(B.path(COL("number")).isNotNull())
     return structure.monotone(d).select(*DOC, "pos", "accepted")
 
 
 @register("restart_groups", f"""{PARA}, t AS (SELECT * FROM p WHERE kind <> 'image' AND top > 0), l AS (SELECT *, lag(top) OVER (PARTITION BY regulation, version ORDER BY pos) AS before FROM t)
 SELECT regulation, version, pos, CAST(sum(CASE WHEN top < before AND before > 1 THEN 1 ELSE 0 END) OVER (PARTITION BY regulation, version ORDER BY pos) AS INT) AS restart_group FROM l""")
 def restart_groups(spark, sf_dir):
-    d = blocks(spark, sf_dir).select(*DOC, "pos", "type", "number")
+    d = blocks(spark, sf_dir, "regulation version pos type number").select(*DOC, "pos", "type", "number")
     return structure.restart_groups(d).filter("restart_group is not null").select(*DOC, "pos", "restart_group")
 
 
@@ -165,62 +118,27 @@ m AS (SELECT *, coalesce(max(CASE WHEN body = 1 THEN top END) OVER (PARTITION BY
 s AS (SELECT regulation, version, min(pos) AS start FROM m WHERE body = 1 AND most >= 2 AND top < most // 2 + 1 AND later <= most GROUP BY ALL)
 SELECT p.regulation, p.version, p.pos, coalesce(p.pos >= s.start AND p.kind <> 'image', false) AS in_annex FROM p LEFT JOIN s USING (regulation, version)""")
 def annex_boundary(spark, sf_dir):
-    d = blocks(spark, sf_dir).select(*DOC, "pos", "type", "number", "level")
+    d = blocks(spark, sf_dir, "regulation version pos type number level").select(*DOC, "pos", "type", "number", "level")
     return structure.in_annex(d).select(*DOC, "pos", "in_annex")
 
 
-@register("annex_numbers")
-def annex_numbers(spark, sf_dir):
-    d = written(blocks(spark, sf_dir).select(*DOC, "pos", "type", "number", "level", "title", "text", "annex_id"), "annex-blocks")
-    last = written(structure.last_chapters(d), "annex-chapters")
-    return structure.annex_ids(structure.in_annex(d), last).select(*DOC, "pos", "annex", "in_annex")
-
-
-@register("annex_selection", f"""{BLOCKS} SELECT regulation, version, count(*) AS n FROM b WHERE annex_id IS NOT NULL GROUP BY ALL""")
-def annex_counts(spark, sf_dir):
-    return blocks(spark, sf_dir).filter("annex_id is not null").groupBy(*DOC).agg(F.count("*").alias("n"))
-
-
-@register("annex_restart_rows")
-def annex_restart_rows(spark, sf_dir):
-    return structure.annex_rows(blocks(spark, sf_dir), 4).select("block_id", *DOC, "pos")
-
-
-@register("annex_parts")
-def annex_parts(spark, sf_dir):
-    d = written(blocks(spark, sf_dir).select(*DOC, "pos", "type", "number", "level", "parent", "title", "text", "annex_id"), "annex-blocks")
-    last = written(structure.last_chapters(d), "annex-chapters")
-    d = structure.annex_ids(structure.in_annex(d), last)
-    return structure.annex_parts(d).select(*DOC, "pos", "part_idx", "part_label", "part_prefix", "part_first", "part_header", "multiple_parts", "display_number")
-
-
 @register("annex_page_noise")
 def annex_page_noise(spark, sf_dir):
-    d = blocks(spark, sf_dir).withColumn("annex", COL("annex_id"))
+    d = blocks(spark, sf_dir, "regulation version pos type number level parent title text annex_id").withColumn("annex", COL("annex_id"))
     return structure.annex_page_noise(d).filter("nav_only_hidden").select("block_id", *DOC, "pos")
 
 
-@register("chapter_list")
-def chapter_list(spark, sf_dir):
-    return structure.chapters(blocks(spark, sf_dir))
-
-
 @register("tree_edges", f"""{BLOCKS}, p AS (SELECT regulation, version, pos, number, parent, level, uid FROM b WHERE coalesce(type, '') <> 'image'),
 j AS (SELECT c.regulation, c.version, c.pos, c.number, c.uid, x.pos AS parent_pos, x.uid AS parent_uid, row_number() OVER (PARTITION BY c.regulation, c.version, c.pos ORDER BY x.pos DESC) AS r FROM p c JOIN p x ON x.regulation = c.regulation AND x.version = c.version AND x.number = c.parent AND x.pos < c.pos WHERE c.level > 1)
 SELECT regulation, version, pos, number, uid, parent_pos, parent_uid FROM j WHERE r = 1""")
 def tree_edges(spark, sf_dir):
-    return structure.tree_edges(blocks(spark, sf_dir))
-
-
-@register("annex_tree")
-def annex_tree(spark, sf_dir):
-    return structure.annex_tree(blocks(spark, sf_dir), versions(spark, sf_dir))
+    return structure.tree_edges(blocks(spark, sf_dir, "regulation version pos type number parent level uid"))
 
 
 @register("first_occurrence", f"""{BLOCKS}, p AS (SELECT *, coalesce(type, '') <> 'image' AND coalesce(number, '') <> '' AS vis FROM b)
 SELECT block_id, vis AND pos = min(CASE WHEN vis THEN pos END) OVER (PARTITION BY regulation, version, number) AS first_occ FROM p""")
 def first_occurrence(spark, sf_dir):
-    return structure.first_occurrence(blocks(spark, sf_dir).select("block_id", *DOC, "pos", "type", "number")).select("block_id", "first_occ")
+    return structure.first_occurrence(blocks(spark, sf_dir, "regulation version pos type number").select("block_id", *DOC, "pos", "type", "number")).select("block_id", "first_occ")
 
 
 @register("chapter_gaps", f"""{PARA}, k AS (SELECT DISTINCT regulation, version, top FROM p WHERE kind <> 'image' AND level = 1 AND top IS NOT NULL AND number = CAST(top AS VARCHAR)),
@@ -228,7 +146,7 @@ f AS (SELECT p.regulation, p.version, p.top, min(p.pos) AS pos FROM p JOIN k USI
 m AS (SELECT *, max(top) OVER (PARTITION BY regulation, version ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS most FROM f)
 SELECT m.regulation, m.version, m.pos, m.top AS chapter, list_sort(list(k.top)) AS missing FROM m JOIN k ON k.regulation = m.regulation AND k.version = m.version AND k.top > m.most AND k.top < m.top GROUP BY ALL""")
 def chapter_gaps(spark, sf_dir):
-    d = blocks(spark, sf_dir).select(*DOC, "pos", "type", "number", "level")
+    d = blocks(spark, sf_dir, "regulation version pos type number level").select(*DOC, "pos", "type", "number", "level")
     known = d.filter((B.kind(COL("type")) != "image") & (COL("level") == 1) & COL("number").rlike(r"^\d+$")).select(*DOC, COL("number").alias("chapter"))
     return structure.chapter_gaps(d, known)
 
@@ -237,42 +155,37 @@ def chapter_gaps(spark, sf_dir):
 l AS (SELECT *, last_value(divider IGNORE NULLS) OVER (PARTITION BY regulation, version ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM d)
 SELECT block_id, divider FROM l WHERE divider IS NOT NULL AND divider IS DISTINCT FROM before""")
 def dividers(spark, sf_dir):
-    return structure.dividers(blocks(spark, sf_dir).withColumn("annex", COL("annex_id"))).select("block_id", "divider")
+    return structure.dividers(blocks(spark, sf_dir, "regulation version pos type number annex_id").withColumn("annex", COL("annex_id"))).select("block_id", "divider")
 
 
 @register("toc_duplicates", f"""{BLOCKS}, g AS (SELECT regulation, version, coalesce(annex_id, -1) AS a, trim(number) AS n, count(*) AS c, bool_or(NOT contains(coalesce(title, ''), '......')) AS clean FROM b WHERE coalesce(type, '') <> 'image' AND coalesce(level, 1) = 1 AND regexp_full_match(trim(number), '\\d{{1,2}}') GROUP BY ALL HAVING c >= 2 AND clean)
 SELECT DISTINCT b.regulation, b.version, b.uid FROM b JOIN g ON g.regulation = b.regulation AND g.version = b.version AND g.a = coalesce(b.annex_id, -1) AND g.n = trim(b.number)
 WHERE coalesce(type, '') <> 'image' AND coalesce(level, 1) = 1 AND (contains(coalesce(b.title, ''), '......') OR regexp_matches(coalesce(b.text, ''), '(?s)^[^:]*?\\.{{4,}}(?:\\s*\\d{{1,3}})?\\s*$'))""")
 def toc_duplicates(spark, sf_dir):
-    return noise.toc_duplicates(blocks(spark, sf_dir))
+    return noise.toc_duplicates(blocks(spark, sf_dir, "regulation version pos uid type number level title text annex_id"))
 
 
 @register("repeated_footnotes")
 def repeated_footnotes(spark, sf_dir):
-    return noise.repeated_footnotes(blocks(spark, sf_dir))
+    return noise.repeated_footnotes(blocks(spark, sf_dir, "regulation version pos type number level title text annex_id"))
 
 
 @register("hidden_rows")
 def hidden_rows(spark, sf_dir):
-    return noise.marked(blocks(spark, sf_dir)).filter("nav_hidden").select("block_id", *DOC, "pos")
+    return noise.marked(blocks(spark, sf_dir, "regulation version pos uid type number level title text annex_id")).filter("nav_hidden").select("block_id", *DOC, "pos")
 
 
 @register("media_conflicts", f"""{BLOCKS}, i AS (SELECT * FROM b WHERE type = 'image' AND bbox IS NOT NULL AND page IS NOT NULL)
 SELECT DISTINCT f.regulation, f.version, f.pos FROM i f JOIN i t ON t.regulation = f.regulation AND t.version = f.version AND t.page = f.page AND starts_with(t.label, 'Table')
 WHERE NOT coalesce(starts_with(f.label, 'Table'), false) AND NOT (f.bbox[3] + 4 < t.bbox[1] OR t.bbox[3] + 4 < f.bbox[1] OR f.bbox[4] + 4 < t.bbox[2] OR t.bbox[4] + 4 < f.bbox[2])""")
 def media_conflicts(spark, sf_dir):
-    return noise.media_conflicts(blocks(spark, sf_dir))
+    return noise.media_conflicts(blocks(spark, sf_dir, "regulation version pos type page bbox label"))
 
 
 @register("media_labels", f"""{BLOCKS}, i AS (SELECT *, CASE WHEN starts_with(label, 'Table') THEN 'Table' ELSE 'Figure' END AS k FROM b WHERE type = 'image')
 SELECT block_id, coalesce(CASE WHEN coalesce(label, '') <> '' THEN label END, caption, k || ' ' || row_number() OVER (PARTITION BY regulation, version, k ORDER BY page NULLS FIRST, bbox[2] NULLS FIRST, pos)) AS shown_label FROM i""")
 def media_labels(spark, sf_dir):
-    return noise.media_labels(blocks(spark, sf_dir)).select("block_id", "shown_label")
-
-
-@register("image_uids")
-def image_uids(spark, sf_dir):
-    return blocks(spark, sf_dir).filter("type = 'image' and bbox is not null").select("block_id", B.image_uid(COL("regulation"), COL("page"), COL("bbox"), COL("label")).alias("made_uid"))
+    return noise.media_labels(blocks(spark, sf_dir, "regulation version pos type page bbox label caption")).select("block_id", "shown_label")
 
 
 @register("diff_exact", f"""{SNAPS} SELECT n.regulation, n.snap_no, n.pos, n.uid, CASE WHEN o.uid IS NULL THEN 'ADDED' ELSE 'KEPT' END AS type FROM n LEFT JOIN o USING (regulation, snap_no, uid)
@@ -309,12 +222,7 @@ UNION ALL SELECT regulation, version, pos, unnest(regexp_extract_all(t, '(?i)\\b
 UNION ALL SELECT regulation, version, pos, unnest(regexp_extract_all(m, '\\d+(?:\\.\\d+)+')), annex_id FROM (SELECT regulation, version, pos, annex_id, unnest(regexp_extract_all(rest, '(?i)\\bparagraphs?\\s+\\d+(?:\\.\\d+)+\\.?(?:(?:\\s*,\\s*(?:and|or|to)?\\s+|\\s+(?:and|or|to)\\s+)\\d+(?:\\.\\d+)+\\.?)*')) AS m FROM r))
 SELECT DISTINCT regulation, version, pos, regexp_replace(n, '\\.+$', '') AS number, annex FROM e WHERE regexp_replace(n, '\\.+$', '') <> ''""")
 def reference_edges(spark, sf_dir):
-    return references.edges(blocks(spark, sf_dir)).drop("ref_no")
-
-
-@register("references_resolved")
-def references_resolved(spark, sf_dir):
-    return references.resolved(blocks(spark, sf_dir))
+    return references.edges(blocks(spark, sf_dir, "regulation version pos type text annex_id")).drop("ref_no")
 
 
 @register("glossary_terms", """SELECT regulation, term, max(CASE WHEN coalesce(description, '') <> '' THEN description ELSE coalesce(ja, '') END) AS definition FROM glossary WHERE coalesce(term, '') <> '' GROUP BY ALL""")
@@ -322,25 +230,30 @@ def glossary_terms(spark, sf_dir):
     return glossary.english_terms(table(spark, sf_dir, "glossary")).select("regulation", "term", "definition")
 
 
-@register("glossary_matches")
+def _spans_sql(term: str, text: str, low: str) -> str:
+    """Longest terms first, no two overlapping: all places of all terms, taken one after the other."""
+    return f"""WITH t AS (SELECT DISTINCT regulation, {term} AS t FROM glossary WHERE coalesce({term}, '') <> ''), d AS (SELECT DISTINCT block_id, regulation, {text} AS x FROM structured WHERE {text} IS NOT NULL),
+m AS (SELECT block_id, x, t FROM d JOIN t USING (regulation) WHERE contains({low}(x), {low}(t))), p AS (SELECT *, unnest(range(1, length(x) - length(t) + 2)) AS i FROM m),
+o AS (SELECT block_id, t, i - 1 AS a, i - 1 + length(t) AS b FROM p WHERE substr({low}(x), i, length(t)) = {low}(t)),
+l AS (SELECT block_id, list([{{'a': a, 'b': b, 't': t}}] ORDER BY b - a DESC, t, a) AS l FROM o GROUP BY block_id),
+k AS (SELECT block_id, unnest(list_reduce(l, lambda done, y: CASE WHEN len(list_filter(done, lambda z: z.a < y[1].b AND y[1].a < z.b)) = 0 THEN list_concat(done, y) ELSE done END)) AS r FROM l)
+SELECT block_id, CAST(r.a AS INT) AS start, CAST(r.b AS INT) AS "end", r.t AS term FROM k"""
+
+
+@register("glossary_matches", _spans_sql("term", "text", "lower"))
 def glossary_matches(spark, sf_dir):
     return glossary.matches(table(spark, sf_dir, "structured"), glossary.english_terms(table(spark, sf_dir, "glossary")))
 
 
-@register("glossary_matches_ja")
+@register("glossary_matches_ja", _spans_sql(f"regexp_replace(ja, '^{WS}+|{WS}+$', '', 'g')", "translation", ""))
 def glossary_matches_ja(spark, sf_dir):
     return glossary.matches(table(spark, sf_dir, "structured"), glossary.japanese_terms(table(spark, sf_dir, "glossary")), "translation", "ja", ignore_case=False)
 
 
-@register("glossary_prompts")
-def glossary_prompts(spark, sf_dir):
-    return glossary.prompt_table(table(spark, sf_dir, "glossary"))
-
-
 @register("proposals_attached", f"""{BLOCKS}, p AS (SELECT * FROM proposals QUALIFY row_number() OVER (PARTITION BY id ORDER BY loaded_at DESC) = 1)
 SELECT b.block_id, list(p.id ORDER BY coalesce(p.source_date, '') DESC, p.id) AS ids FROM b JOIN p ON p.regulation = b.regulation AND p.target_uid = b.uid WHERE p.type <> 'ADDED' GROUP BY b.block_id""")
 def proposals_attached(spark, sf_dir):
-    d = proposals.attached(blocks(spark, sf_dir), pending(spark, sf_dir)).filter("proposals is not null")
+    d = proposals.attached(blocks(spark, sf_dir, "regulation uid"), pending(spark, sf_dir)).filter("proposals is not null")
     return d.select("block_id", F.transform("proposals", lambda x: x["id"]).alias("ids"))
 
 
@@ -348,7 +261,7 @@ def proposals_attached(spark, sf_dir):
 u AS (SELECT regulation, version, pos, uid, 0 AS k, '' AS d, '' AS id FROM b UNION ALL SELECT b.regulation, b.version, b.pos, 'PROPOSAL-' || p.id, 1, coalesce(p.source_date, ''), p.id FROM b JOIN p ON p.regulation = b.regulation AND p.anchor_uid = b.uid WHERE p.type = 'ADDED')
 SELECT regulation, version, CAST(row_number() OVER (PARTITION BY regulation, version ORDER BY pos, k, d, id) - 1 AS INT) AS pos, uid, k = 1 AS proposal_only FROM u""")
 def proposals_inserted(spark, sf_dir):
-    return proposals.inserted(blocks(spark, sf_dir), pending(spark, sf_dir)).select(*DOC, "pos", "uid", "proposal_only")
+    return proposals.inserted(blocks(spark, sf_dir, "regulation version pos uid level parent number title"), pending(spark, sf_dir)).select(*DOC, "pos", "uid", "proposal_only")
 
 
 @register("segments")
@@ -359,34 +272,34 @@ def segments(spark, sf_dir):
 @register("pending_batches", f"""{BLOCKS}, t AS (SELECT block_id, regulation, version, pos FROM b WHERE coalesce(type, 'paragraph') = 'paragraph' AND status = 'untranslated')
 SELECT block_id, CAST((row_number() OVER (PARTITION BY regulation, version ORDER BY pos) - 1) // 10 AS INT) AS batch_no FROM t""")
 def pending_batches(spark, sf_dir):
-    return enrich.batches(enrich.body_targets(blocks(spark, sf_dir)), enrich.BODY).select("block_id", "batch_no")
+    return enrich.batches(enrich.body_targets(blocks(spark, sf_dir, "regulation version pos type status")), enrich.BODY).select("block_id", "batch_no")
 
 
 @register("summary_targets", f"{BLOCKS} SELECT block_id FROM b WHERE coalesce(type, 'paragraph') = 'paragraph' AND status IN ('done', 'translated') AND trim(coalesce(text, '')) <> ''")
 def summary_targets(spark, sf_dir):
-    return enrich.summary_targets(blocks(spark, sf_dir)).select("block_id")
+    return enrich.summary_targets(blocks(spark, sf_dir, "type status text")).select("block_id")
 
 
 @register("heading_targets", f"{BLOCKS} SELECT block_id FROM b WHERE coalesce(type, 'paragraph') = 'paragraph' AND coalesce(title, '') <> '' AND coalesce(title_ja, '') = ''")
 def heading_targets(spark, sf_dir):
-    return enrich.heading_targets(blocks(spark, sf_dir)).select("block_id")
+    return enrich.heading_targets(blocks(spark, sf_dir, "type title title_ja")).select("block_id")
 
 
 def _echo(rows: list[dict]) -> list[dict]:
     """A stand-in for a translator: the text's own words, marked."""
-    return [{"translation": f"[ja] {r['text']}"} for r in rows]
+    return [{"translation": f"[ja] {r['text'] or ''}"} for r in rows]
 
 
-@register("enriched", f"{BLOCKS} SELECT block_id, CASE WHEN coalesce(type, 'paragraph') = 'paragraph' AND status = 'untranslated' THEN 'done' ELSE status END AS status FROM b")
+@register("enriched", f"{BLOCKS} SELECT block_id, CASE WHEN coalesce(type, 'paragraph') = 'paragraph' AND status = 'untranslated' THEN 'done' ELSE status END AS status, CASE WHEN coalesce(type, 'paragraph') = 'paragraph' AND status = 'untranslated' THEN regexp_replace('[ja] ' || coalesce(text, ''), '[\\s\\x1c-\\x1f\\x85\\p{{Z}}]+$', '') ELSE translation END AS translation FROM b")
 def enriched(spark, sf_dir):
-    d = blocks(spark, sf_dir)
+    d = written(blocks(spark, sf_dir, "regulation version pos type number title text status translation"), "enriched")
     got = enrich.enriched(enrich.body_targets(d), _echo, enrich.BODY, ("translation",))
-    return enrich.written_back(d, got, ("translation",)).select("block_id", "status")
+    return enrich.written_back(d, got, ("translation",)).select("block_id", "status", "translation")
 
 
 @register("progress", f"""{BLOCKS} SELECT regulation, count(*) AS total, count(*) FILTER (status IN ('done', 'translated')) AS translated, CAST(trunc(count(*) FILTER (status IN ('done', 'translated')) / count(*) * 100) AS INT) AS progress FROM b WHERE coalesce(type, 'paragraph') = 'paragraph' GROUP BY regulation""")
 def progress(spark, sf_dir):
-    return report.progress(blocks(spark, sf_dir))
+    return report.progress(blocks(spark, sf_dir, "regulation type status"))
 
 
 @register("latest_versions", "SELECT regulation, arg_max(version, lower(version)) AS version FROM doc_versions WHERE version IS NOT NULL AND lower(version) <> 'diff' GROUP BY regulation")
@@ -397,26 +310,29 @@ def latest_versions(spark, sf_dir):
 @register("index_rows", f"""{BLOCKS}, v AS (SELECT regulation, arg_max(version, lower(version)) AS version FROM doc_versions WHERE version IS NOT NULL AND lower(version) <> 'diff' GROUP BY regulation)
 SELECT regulation, version, count(*) AS total, count(*) FILTER (status IN ('done', 'translated')) AS translated FROM b JOIN v USING (regulation, version) WHERE coalesce(type, 'paragraph') = 'paragraph' GROUP BY ALL""")
 def index_rows(spark, sf_dir):
-    return report.index_rows(blocks(spark, sf_dir), versions(spark, sf_dir)).select("regulation", "version", "total", "translated")
+    return report.index_rows(blocks(spark, sf_dir, "regulation version type status"), versions(spark, sf_dir)).select("regulation", "version", "total", "translated")
 
 
 @register("chapter_selection", f"""{BLOCKS}, p AS (SELECT *, coalesce(type, '') <> 'image' AND number <> '' AND pos = min(CASE WHEN coalesce(type, '') <> 'image' AND number <> '' THEN pos END) OVER (PARTITION BY regulation, version, number) AS first_occ FROM b)
 SELECT block_id, level > 3 AS collapsed FROM p WHERE (number = '3' OR parent = '3' OR starts_with(coalesce(parent, ''), '3.')) AND first_occ AND annex_id IS NULL""")
 def chapter_selection(spark, sf_dir):
-    return report.chapter_rows(structure.first_occurrence(blocks(spark, sf_dir)), "3").select("block_id", "collapsed")
+    return report.chapter_rows(structure.first_occurrence(blocks(spark, sf_dir, "regulation version pos type number parent level annex_id")), "3").select("block_id", "collapsed")
 
 
 @register("rows_with_children", f"{BLOCKS} SELECT block_id FROM b WHERE number <> '' AND EXISTS (SELECT 1 FROM b c WHERE c.regulation = b.regulation AND c.version = b.version AND c.parent = b.number)")
 def rows_with_children(spark, sf_dir):
-    return report.with_children(blocks(spark, sf_dir)).select("block_id")
+    return report.with_children(blocks(spark, sf_dir, "regulation version number parent")).select("block_id")
 
 
 @register("subtree", f"{BLOCKS} SELECT block_id FROM b WHERE starts_with(coalesce(number, ''), '2.3.')")
 def subtree(spark, sf_dir):
-    return report.subtree(blocks(spark, sf_dir), "2.3").select("block_id")
+    return report.subtree(blocks(spark, sf_dir, "number"), "2.3").select("block_id")
 
 
 @register("page_model")
 def page_model(spark, sf_dir):
     m = report.page_model(blocks(spark, sf_dir), pending(spark, sf_dir), table(spark, sf_dir, "glossary"), versions(spark, sf_dir))
     return m.select(*DOC, "pos", "uid", "display_number", "annex", "part_label", "nav_hidden", "nav_only_hidden", "first_occ", F.size(F.coalesce("refs", F.array())).alias("n_refs"), "text_annotated", "translation_annotated", "summary_ja_short")
+
+
+from codexgrid.plans import composites  # noqa: E402, F401 (registers its queries)

@@ -38,6 +38,13 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A path in the shared folder for files that are deleted with the written tables."""
+    path = f"{shared_dir(spark)}/codexgrid/{name}-{uuid.uuid4().hex}"
+    _written.append((spark, path))
+    return path
+
+
 def drop_written(keep: int = 0) -> None:
     """Delete the tables of ``written`` but for the first ``keep`` (all at the end of the driver)."""
     while len(_written) > keep:

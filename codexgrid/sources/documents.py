@@ -63,6 +63,12 @@ def nested(rows: DataFrame, versions: DataFrame) -> DataFrame:
     return versions.join(g, ["regulation", "version"]).withColumn("paragraphs", F.transform("_b", lambda b: F.struct(*[b[c].alias(c) for c in have]))).drop("_b")
 
 
+def published(rows: DataFrame, regulation: str) -> DataFrame:
+    """The rows of one regulation as they were stored, for publication beside its page: none of the columns that pages add."""
+    added = ("annex", "in_annex", "nav_hidden", "nav_only_hidden", "first_occ", "first_occ_annex", "refs", "divider", "gap_chapters", "text_annotated", "translation_annotated", "summary_ja_short", "display_number", "proposals", "proposal_only")
+    return rows.filter(F.col("regulation") == regulation).drop(*added, *(c for c in rows.columns if c.startswith("part_")), "multiple_parts")
+
+
 def write_json(docs: DataFrame, path: str) -> None:
     """Overwrite ``path`` with one JSON line a document, partitioned by regulation and version. Don't write to a path being read."""
     docs.withColumns({"_r": F.col("regulation"), "_v": F.col("version")}).write.mode("overwrite").partitionBy("_r", "_v").json(path)

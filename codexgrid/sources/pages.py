@@ -26,6 +26,6 @@ def diff_pages(report: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def index_page(rows: DataFrame) -> DataFrame:
-    """html: the index of regulations with their progress, one row each."""
+    """html: the index of regulations with their progress, one line each; one value, so meant for some ten thousand regulations at most."""
     line = F.concat(F.lit("<li>"), B.escape_html(F.col("regulation")), F.lit(" "), B.escape_html(B.text0(F.col("version"))), F.lit(" "), F.col("translated").cast("string"), F.lit("/"), F.col("total").cast("string"), F.lit(" "), F.col("progress").cast("string"), F.lit(" %</li>"))
     return rows.groupBy().agg(F.array_sort(F.collect_list(F.struct("rank", line.alias("l")))).alias("_l")).select(F.concat(F.lit("<ul>"), F.array_join(F.transform("_l", lambda x: x["l"]), "\n"), F.lit("</ul>")).alias("html"))

@@ -139,6 +139,95 @@ def test_chapters_tree_gaps(spark):
     assert [r.first_occ for r in fo] == [True, False, False]
 
 
+def test_chapters_equal_their_definition(spark):
+    rng = random.Random(11)
+    for seed in range(4):
+        nums = [rng.choice(["1", "2", "3", "4", "5", "A", ""]) for _ in range(rng.randint(3, 40))]
+        toc = [rng.random() < 0.5 for _ in nums]
+        ja = [rng.choice([None, "題"]) for _ in nums]
+        df = frame(spark, [row(i, n, f"T{i}", text="T" if t else "body " * 20, title_ja=j, level=1) for i, (n, t, j) in enumerate(zip(nums, toc, ja))])
+        after = lambda n, p: next((i for i in range(p + 1, len(nums)) if nums[i] == str(n)), None)
+        chain, at = {}, -1
+        while (p := after(len(chain) + 1, at)) is not None:
+            chain[len(chain) + 1] = at = p
+        closed = min((q for n, p in chain.items() if (q := after(n, p)) is not None), default=len(nums))
+        want = set()
+        for i, n in enumerate(nums[:closed]):
+            taken = n.isdigit() and chain.get(int(n)) == i
+            giver = next((q for q in range(i + 1, len(nums)) if nums[q] == n and ja[q]), None) if taken and not ja[i] else None
+            if not n.isdigit() or taken:
+                want.add((i, n, f"T{i if giver is None else giver}", ja[i] or ("題" if giver is not None else ""), False))
+            elif toc[i]:
+                want.add((i, n, f"T{i}", ja[i] or "", True))
+        assert {(r.pos, r.chapter, r.title, r.title_ja, r.toc_row) for r in structure.chapters(df).collect()} == want, nums
+
+
+def test_diff_equals_brute_force(spark):
+    rng = random.Random(5)
+    words = "brake lamp door valve relay shall resist release within the of a test".split()
+    old_t = [" ".join(rng.choice(words) for _ in range(rng.randint(3, 30))) for _ in range(25)]
+    new_t = [t if rng.random() < 0.3 else " ".join(w for w in t.split() if rng.random() < 0.85) + rng.choice(["", " new words here"]) for t in old_t if rng.random() < 0.9] + ["something else entirely 123", ""]
+    side = lambda ts: [("d", i, f"u{hash(t) % 10**9}", str(i), "t", t) for i, t in enumerate(ts)]
+    s = "doc string, pos int, uid string, number string, title string, text string"
+    old, new = side(old_t), side(new_t)
+    last = {r[2]: r for r in old}
+    got = {(r.type, r.pos, r.prev_uid, r.similarity) for r in D.diff(spark.createDataFrame(old, s), spark.createDataFrame(new, s), ["doc"]).collect()}
+    want = {("UNCHANGED", r[1], r[2], None) for r in new if r[2] in last}
+    rest_n, rest_o = [r for r in new if r[2] not in last], [r for r in last.values() if r[2] not in {x[2] for x in new}]
+    pairs = sorted(((similarity.ratio(o[5], n[5]), n, o) for n in rest_n for o in rest_o), key=lambda p: (-p[0], p[1][1], p[2][1]))
+    used = set()
+    for r, n, o in pairs:
+        if r >= 0.5 and ("n", n[1]) not in used and ("o", o[1]) not in used:
+            used |= {("n", n[1]), ("o", o[1])}
+            want.add(("SLID" if r >= 0.92 else "MODIFIED", n[1], o[2], round(r, 4)))
+    want |= {("ADDED", n[1], None, None) for n in rest_n if ("n", n[1]) not in used} | {("DELETED", None, o[2], None) for o in rest_o if ("o", o[1]) not in used}
+    assert got == want
+
+
+def test_large_documents_are_matched_in_rounds(spark, monkeypatch):
+    rng = random.Random(3)
+    pairs = [("k", i, j, round(rng.random(), 1)) for i in range(8) for j in range(8) if rng.random() < 0.6]
+    df = spark.createDataFrame(pairs, "k string, left_id long, right_id long, similarity double")
+    small = {(r.left_id, r.right_id) for r in D.best_first(df, ["k"]).collect()}
+    monkeypatch.setattr(D, "GATHERED", 3)
+    assert {(r.left_id, r.right_id) for r in D.best_first(df, ["k"]).collect()} == small
+
+
+def test_definitions_inside_paragraphs(spark):
+    quote = "\u201d"
+    cases = {
+        'Terms;  2.7.  "Brake" means x; 2.8.   "Wheel" means y:\n': [("2", "t", "Terms"), ("2.7", '"Brake" means x', '"Brake" means x'), ("2.8", '"Wheel" means y', '"Wheel" means y')],
+        f"2.1.  {quote}Door lock{quote} means {'z' * 100}": [("2.1", '"Door lock"', f"{quote}Door lock{quote} means {'z' * 100}")],
+        "none here": [("2", "t", "none here")],
+    }
+    df = spark.createDataFrame([(i, "2", "t", t) for i, t in enumerate(cases)], "id int, number string, title string, text string")
+    got = segment.split_definitions(df).orderBy("id", "part").collect()
+    for i, want in enumerate(cases.values()):
+        assert [(r.number, r.title, r.text) for r in got if r.id == i] == want
+    many = " ".join(f'2.{k}.  "T{k}" x' for k in range(1, 1500))
+    assert segment.split_definitions(spark.createDataFrame([(1, "2", "t", many)], "id int, number string, title string, text string")).count() == 1499
+
+
+def test_captions_and_labels(spark):
+    box = spark.createDataFrame([("d", 1, [0.0, 100.0, 50.0, 150.0]), ("d", 2, [0.0, 100.0, 50.0, 150.0])], "doc string, page int, bbox array<double>")
+    text = spark.createDataFrame(
+        [("d", 1, [0.0, 160.0, 40.0, 170.0], "Overview of"), ("d", 1, [0.0, 171.0, 40.0, 180.0], "the lamp, see Fig. 3"), ("d", 1, [0.0, 80.0, 40.0, 90.0], "as in Table 4.2 below"), ("d", 2, [0.0, 160.0, 40.0, 170.0], "plain text")],
+        "doc string, page int, bbox array<double>, text string",
+    )
+    assert {r.page: r.near for r in media.near_text(box, text, below=True).collect()} == {1: "Overview of\nthe lamp, see Fig. 3", 2: None}
+    assert {r.page: r.near for r in media.near_text(box, text, below=False).collect()} == {1: "Table 4.2", 2: None}
+
+
+def test_insertions_keep_their_place(spark):
+    p = spark.createDataFrame([(f"{a}-{k}", "R1", "ADDED", f"u{a}", "9", "t", str(k)) for a in (1, 8, 32, 33, 3188) for k in (1, 2)], "id string, regulation string, type string, anchor_uid string, number string, title string, source_date string")
+    got = proposals.inserted(frame(spark, [row(i, str(i)) for i in range(0, 4000)]), p).orderBy("pos").collect()
+    uids = [r.uid for r in got]
+    for a in (1, 8, 32, 33, 3188):
+        at = uids.index(f"u{a}")
+        assert uids[at + 1 : at + 3] == [f"PROPOSAL-{a}-1", f"PROPOSAL-{a}-2"]
+    assert [r.pos for r in got] == list(range(4010))
+
+
 def test_diff_golden_and_quirks(spark):
     s = "doc string, pos int, uid string, number string, title string, text string"
     old = spark.createDataFrame([("d", 0, "a", "1", "t", "same"), ("d", 1, "b", "2", "t", "the quick brown fox jumps over the dog"), ("d", 2, "c", "3", "t", "completely different sentence here"), ("d", 3, "x", "4", "t", "abcdefgh")], s)
@@ -188,6 +277,16 @@ def test_segmentation(spark):
     assert any(r.number == "" and "Lead in" in (r.text or "") for r in got)
 
 
+def test_annexes_of_raw_texts_are_filled_in(spark):
+    text = "1 Scope ..... 3\nCONTENTS\n1. Scope\nApplies.\n2. Terms\nMeans.\n[[ANNEX:3]]\n1. General\n[[IMG:x]]\n1) a note\nbody\n2. More\nend"
+    docs = spark.createDataFrame([(1, "R1", text), (2, "R2", None), (3, "R1", "")], "doc_id long, regulation string, text string")
+    known = segment.annex_map(docs)
+    uid = lambda t: spark.range(1).select(B.uid(F.lit("R1"), F.lit(t)).alias("u")).first().u
+    assert {(r.uid, r.annex_id) for r in known.collect()} == {(uid("General 1) a note body"), 3), (uid("More end"), 3)}
+    rows = frame(spark, [row(0, "1", uid=uid("General 1) a note body")), row(1, "1", uid=uid("Scope Applies."), annex_id=5), row(2, type="image", uid=uid("More end"), annex_id=7)])
+    assert [r.annex_id for r in segment.annex_backfill(rows, known).orderBy("pos").collect()] == [3, 5, 7]
+
+
 def test_references(spark):
     cases = {
         "paragraph 5.1. of Annex 4": [("5.1", 4)], "paragraph 5.2 of this Regulation": [("5.2", None)], "paragraphs 1.2., 1.3., and 1.4.": [("1.2", 9), ("1.3", 9), ("1.4", 9)],
@@ -235,6 +334,7 @@ def test_page_hides_contents_and_marks_japanese(spark):
     got = report.page_model(rows, p, g, names).collect()
     assert {(r.regulation, r.pos) for r in got if r.nav_hidden} == {("R1", 2), ("R1", 3), ("R1", 4), ("R2", 2)}
     assert {(r.regulation, r.annex) for r in structure.annex_tree(rows, names).collect()} == {("R1", 1), ("R1", 2), ("R1", 3), ("R2", 5)}
+    assert {(r.pos, r.annex_title) for r in got if r.annex_title} <= {(r.pos, r.annex_title) for r in got if r.annex is not None} and {r.divider for r in got if r.divider} >= {"chapter 1", "chapter 2"}
     ja = {(r.regulation, r.pos): r.translation_annotated for r in got}
     assert ja["R1", 7] == '車両の&lt;<span class="term" data-term="制動">制動</span>&gt;' and ja["R1", 6] is None
 
@@ -264,7 +364,10 @@ def test_enrichment(spark):
     with pytest.raises(enrich.Throttled):
         enrich.patient(lambda _: (_ for _ in ()).throw(enrich.Throttled(0)), retries=1, pause=lambda s: None)([])
     r = spark.createDataFrame([('```json\n{"a": " x "}\n```',), ("none",)], "t string").select(enrich.reply_json(F.col("t"), "a string").alias("j")).collect()
-    assert r[0].j.a == " x " and r[1].j is None
+    assert r[0].j.a == "x" and r[1].j is None
+    shown = enrich.preview(enrich.body_targets(rows), 4).collect()
+    assert sorted(x.pos for x in shown) == [0, 1, 2, 3] and {x.n_more for x in shown} == {21}
+    assert "| a |" in spark.createDataFrame([("| a |",)], "g string").select(enrich.system_prompt(F.col("g")).alias("p")).first().p
     tr = spark.createDataFrame([("1", "題", "訳")], "number string, title_ja string, translation string")
     assert enrich.mapped(rows, tr, 2, 4).filter("status = 'translated'").count() == 2
 
@@ -277,6 +380,8 @@ def test_media(spark):
     out = media.outside(items, t, 2.0)
     assert {r.ordinal for r in out.collect()} == {2, 3}
     assert media.near_text(t, items, below=True).first().near == "Figure 3 below"
+    batch = enrich.batches(frame(items.sparkSession, [row(i) for i in range(3)]), 2)
+    assert sorted(r.batch_no for r in batch.collect()) == [0, 0, 1]
     order = media.reading_order(out, t.withColumn("ordinal", F.lit(9)).withColumn("uid", F.lit("i")))
     assert [r.body for r in order.filter("page = 1").orderBy("ord").collect()] == ["[[IMG:i]]", "Figure 3 below"]
     marks = media.annex_marks(spark.createDataFrame([("d", 1, None), ("d", 2, 3), ("d", 3, None), ("d", 4, 3), ("d", 5, 4)], "doc string, page int, annex int"))
