@@ -359,21 +359,26 @@ def similar_classes(docs: DataFrame, k: int, t: float, least: int) -> DataFrame:
 
     def verify(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in it:
-            sides = []
-            for c in ("wa", "wb"):
-                row, h = W.sequences(*W.hashed(pdf[c].tolist()), k)
-                o = np.lexsort((h, row))
-                row, h = row[o], h[o]
-                new = np.ones(len(row), bool)
-                new[1:] = (row[1:] != row[:-1]) | (h[1:] != h[:-1])
-                sides.append((row[new], h[new]))
-            row, h = (np.concatenate(x) for x in zip(*sides))
-            o = np.lexsort((h, row))
-            row, h = row[o], h[o]
-            both = np.bincount(row[1:][(row[1:] == row[:-1]) & (h[1:] == h[:-1])], minlength=len(pdf))
-            likeness = both / np.maximum(np.bincount(row, minlength=len(pdf)) - both, 1)
-            out = pdf[["a", "k2a", "b", "k2b"]].assign(likeness=likeness)
-            yield out[both >= t * np.maximum(np.bincount(row, minlength=len(pdf)) - both, 1) - 1e-9].rename(columns={"a": "k1a", "b": "k1b"})
+            if not len(pdf):
+                continue
+            # each text of the batch is read once: its shingles as numbers, all sets in one sorted array
+            one_of = lambda k1, k2: pdf[k1].to_numpy().view(np.uint64) ^ _mix(pdf[k2].to_numpy().view(np.uint64))
+            _, first, which = np.unique(np.concatenate([one_of("a", "k2a"), one_of("b", "k2b")]), return_index=True, return_inverse=True)
+            texts = [*pdf["wa"], *pdf["wb"]]
+            row, h = W.sequences(*W.hashed([texts[i] for i in first]), k)
+            different, code = np.unique(h, return_inverse=True)
+            sets = np.unique(row * len(different) + code)
+            size = np.bincount(sets // len(different), minlength=len(first))
+            begin = np.cumsum(size) - size
+            x, y = which[: len(pdf)], which[len(pdf) :]
+            x, y = np.where(size[x] <= size[y], x, y), np.where(size[x] <= size[y], y, x)
+            pair = np.repeat(np.arange(len(x)), size[x])
+            element = sets[np.arange(len(pair)) + np.repeat(begin[x] - (np.cumsum(size[x]) - size[x]), size[x])] % len(different) + y[pair] * len(different)
+            at = np.minimum(np.searchsorted(sets, element), len(sets) - 1)
+            both = np.bincount(pair[sets[at] == element], minlength=len(x))
+            either = np.maximum(size[x] + size[y] - both, 1)
+            keep = both >= t * either - 1e-9
+            yield pdf[["a", "k2a", "b", "k2b"]].assign(likeness=both / either)[keep].rename(columns={"a": "k1a", "b": "k1b"})
 
     return cand.join(left, "a").join(right, "b").select("a", "k2a", "b", "k2b", "wa", "wb").mapInPandas(verify, "k1a long, k2a long, k1b long, k2b long, likeness double")
 
