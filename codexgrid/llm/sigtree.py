@@ -36,7 +36,7 @@ FANOUT = 8
 HOT = 100_000  # records of one shingle beyond which its subtree is sliced
 POSTINGS_PER_BUCKET = 1_000_000
 FRONTIER = 1 << 14
-BITS_A_SHINGLE = 2  # width of the bitmaps over the mean size of a record
+BITS_A_SHINGLE = 2.75  # width of the bitmaps, in steps of 64, over the mean size of a record
 STEP = 1 << 20  # characters handled at once in a task
 SLICE = 1000  # members of a class of equal texts that one task pairs with as many
 SHARES = 1000  # a class that holds a SHARES-th of all records is looked up by broadcast
@@ -151,7 +151,7 @@ def _postings(docs: DataFrame, k: int, t: float, least: int, sketch: np.ndarray,
             row, h, q = row[new], h[new], q[new]
             n = np.bincount(row, minlength=len(key))
             places = np.zeros((len(key), width), np.uint8)
-            places[row, (h & np.uint64(width - 1)).astype(np.int64)] = 1
+            places[row, (h % np.uint64(width)).astype(np.int64)] = 1
             sig = np.packbits(places, axis=1).view(np.uint64)
             rank = np.arange(len(row)) - (np.cumsum(n) - n)[row]
             keep = (rank <= n[row] - _least(t, n)[row]) & (q > 8)  # 8: seen once in all texts
@@ -333,7 +333,7 @@ def similar_classes(docs: DataFrame, k: int, t: float, least: int) -> DataFrame:
     sketch, total, texts = _sketch(docs, k, least)
     if not texts:
         return spark.createDataFrame([], "k1a long, k2a long, k1b long, k2b long, likeness double")
-    width = 1 << max(7, round(math.log2(BITS_A_SHINGLE * total / texts + 1)))
+    width = 64 * max(2, round(BITS_A_SHINGLE * total / texts / 64))
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil((1 - t) * total / POSTINGS_PER_BUCKET))
     cand = written(_candidates(_postings(docs, k, t, least, sketch, width, buckets), t, width), "sigtree-candidates")
     keys = cand.select(F.explode(F.array("a", "b")).alias("k1")).distinct()
