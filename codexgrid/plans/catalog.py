@@ -141,13 +141,14 @@ def first_occurrence(spark, sf_dir):
     return structure.first_occurrence(blocks(spark, sf_dir, "regulation version pos type number").select("block_id", *DOC, "pos", "type", "number")).select("block_id", "first_occ")
 
 
-@register("chapter_gaps", f"""{PARA}, k AS (SELECT DISTINCT regulation, version, top FROM p WHERE kind <> 'image' AND level = 1 AND top IS NOT NULL AND number = CAST(top AS VARCHAR)),
+@register("chapter_gaps", f"""{PARA}, k AS (SELECT regulation, version, unnest(range(1, 31)) AS top FROM (SELECT DISTINCT regulation, version FROM b)),
 f AS (SELECT p.regulation, p.version, p.top, min(p.pos) AS pos FROM p JOIN k USING (regulation, version, top) WHERE p.kind <> 'image' GROUP BY ALL),
 m AS (SELECT *, max(top) OVER (PARTITION BY regulation, version ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS most FROM f)
-SELECT m.regulation, m.version, m.pos, m.top AS chapter, list_sort(list(k.top)) AS missing FROM m JOIN k ON k.regulation = m.regulation AND k.version = m.version AND k.top > m.most AND k.top < m.top GROUP BY ALL""")
+SELECT m.regulation, m.version, m.pos, m.top AS chapter, list_sort(list(CAST(k.top AS INT))) AS missing FROM m JOIN k ON k.regulation = m.regulation AND k.version = m.version AND k.top > m.most AND k.top < m.top GROUP BY ALL""")
 def chapter_gaps(spark, sf_dir):
-    d = blocks(spark, sf_dir, "regulation version pos type number level").select(*DOC, "pos", "type", "number", "level")
-    known = d.filter((B.kind(COL("type")) != "image") & (COL("level") == 1) & COL("number").rlike(r"^\d+$")).select(*DOC, COL("number").alias("chapter"))
+    """Which of thirty chapters, all taken as known, a document passes over."""
+    d = blocks(spark, sf_dir, "regulation version pos type number")
+    known = d.select(*DOC).distinct().withColumn("chapter", F.explode(F.sequence(F.lit(1), F.lit(30))))
     return structure.chapter_gaps(d, known)
 
 
@@ -158,11 +159,14 @@ def dividers(spark, sf_dir):
     return structure.dividers(blocks(spark, sf_dir, "regulation version pos type number annex_id").withColumn("annex", COL("annex_id"))).select("block_id", "divider")
 
 
-@register("toc_duplicates", f"""{BLOCKS}, g AS (SELECT regulation, version, coalesce(annex_id, -1) AS a, trim(number) AS n, count(*) AS c, bool_or(NOT contains(coalesce(title, ''), '......')) AS clean FROM b WHERE coalesce(type, '') <> 'image' AND coalesce(level, 1) = 1 AND regexp_full_match(trim(number), '\\d{{1,2}}') GROUP BY ALL HAVING c >= 2 AND clean)
-SELECT DISTINCT b.regulation, b.version, b.uid FROM b JOIN g ON g.regulation = b.regulation AND g.version = b.version AND g.a = coalesce(b.annex_id, -1) AND g.n = trim(b.number)
-WHERE coalesce(type, '') <> 'image' AND coalesce(level, 1) = 1 AND (contains(coalesce(b.title, ''), '......') OR regexp_matches(coalesce(b.text, ''), '(?s)^[^:]*?\\.{{4,}}(?:\\s*\\d{{1,3}})?\\s*$'))""")
+@register("toc_duplicates", f"""{BLOCKS}, t AS (SELECT * REPLACE (CASE WHEN pos % 3 = 0 THEN coalesce(title, '') || ' ........ 5' ELSE title END AS title) FROM b),
+g AS (SELECT regulation, version, coalesce(annex_id, -1) AS a, trim(number) AS n, count(*) AS c, bool_or(NOT contains(coalesce(title, ''), '......')) AS clean FROM t WHERE coalesce(type, '') <> 'image' AND coalesce(level, 1) = 1 AND regexp_full_match(trim(number), '\\d{{1,2}}') GROUP BY ALL HAVING c >= 2 AND clean)
+SELECT DISTINCT t.regulation, t.version, t.uid FROM t JOIN g ON g.regulation = t.regulation AND g.version = t.version AND g.a = coalesce(t.annex_id, -1) AND g.n = trim(t.number)
+WHERE coalesce(type, '') <> 'image' AND coalesce(level, 1) = 1 AND (contains(coalesce(t.title, ''), '......') OR regexp_matches(coalesce(t.text, ''), '(?s)^[^:]*?\\.{{4,}}(?:\\s*\\d{{1,3}})?\\s*$'))""")
 def toc_duplicates(spark, sf_dir):
-    return noise.toc_duplicates(blocks(spark, sf_dir, "regulation version pos uid type number level title text annex_id"))
+    """Every third title gets the leader that the tables lack."""
+    d = blocks(spark, sf_dir, "regulation version pos uid type number level title text annex_id")
+    return noise.toc_duplicates(d.withColumn("title", F.when(COL("pos") % 3 == 0, F.concat(B.text0(COL("title")), F.lit(" ........ 5"))).otherwise(COL("title"))))
 
 
 @register("repeated_footnotes")

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from codexgrid.functions import blocks as B
 from codexgrid.functions.text import WS
-from codexgrid.operators import enrich, glossary, proposals, references, report, segment, structure
+from codexgrid.operators import diff, enrich, glossary, proposals, references, report, segment, structure
 from codexgrid.operators.ordered import DOC
 from codexgrid.plans.materialize import scratch, written
 from codexgrid.plans.registry import BLOCKS, COL, blocks, register, versions
@@ -224,6 +224,33 @@ def image_uids(spark, sf_dir):
     return blocks(spark, sf_dir, "regulation type page bbox label").filter("type = 'image' and bbox is not null").select("block_id", B.image_uid(COL("regulation"), COL("page"), COL("bbox"), COL("label")).alias("made_uid"))
 
 
+# comparison of versions -----------------------------------------------------------------------------------------------
+
+
+def _uid(text: str) -> str:
+    return f"regulation || '-' || substr(sha256(regulation || ':' || trim(regexp_replace({text}, '{WS}+', ' ', 'g'))), 1, 8)"
+
+
+_EDITED = "CASE WHEN pos % 5 = 1 THEN repeat('#', length(text)) WHEN pos % 5 = 2 THEN text || '!' WHEN pos % 5 = 3 THEN text || repeat('!', length(text)) ELSE text END"
+
+
+@register(
+    "diff_types",
+    f"""{BLOCKS}, o AS (SELECT regulation, version, min(pos) AS pos, text FROM b WHERE NOT {IMAGE} AND length(text) BETWEEN 20 AND 95 AND NOT regexp_matches(text, '[#!]') GROUP BY ALL),
+n AS (SELECT regulation, version, pos, text AS was, {_EDITED} AS text FROM o WHERE pos % 7 <> 3)
+SELECT regulation, version, pos, {_uid('text')} AS uid, CASE pos % 5 WHEN 1 THEN 'ADDED' WHEN 2 THEN 'SLID' WHEN 3 THEN 'MODIFIED' ELSE 'UNCHANGED' END AS type, CASE WHEN pos % 5 <> 1 THEN {_uid('was')} END AS prev_uid,
+  CASE pos % 5 WHEN 2 THEN round(2.0 * length(was) / (2 * length(was) + 1), 4) WHEN 3 THEN 0.6667 END AS similarity FROM n
+UNION ALL SELECT regulation, version, NULL, {_uid('text')}, 'DELETED', {_uid('text')}, NULL FROM o WHERE pos % 7 = 3 OR pos % 5 = 1""",
+)
+def diff_types(spark, sf_dir):
+    """Short texts against a made version of them: of every five one is replaced, one ends in a mark more, one is twice as long; of every seven one is gone."""
+    d = blocks(spark, sf_dir, "regulation version pos type text").filter((B.kind(COL("type")) != "image") & F.length("text").between(20, 95) & ~COL("text").rlike("[#!]"))
+    d = d.groupBy(*DOC, "text").agg(F.min("pos").alias("pos")).withColumns({"number": F.lit("1"), "title": F.lit("")})
+    old = written(d.withColumn("uid", B.uid(COL("regulation"), COL("text"))), "diff-made")
+    new = old.filter("pos % 7 <> 3").withColumn("text", F.expr(_EDITED)).withColumn("uid", B.uid(COL("regulation"), COL("text")))
+    return diff.diff(old, new, list(DOC)).select(*DOC, "pos", "uid", "type", "prev_uid", "similarity")
+
+
 # references and glossary ----------------------------------------------------------------------------------------------
 
 _OF_ANNEX, _OF_THIS, _PLAIN = references.OF_ANNEX, references.OF_THIS, references.PLAIN
