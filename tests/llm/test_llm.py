@@ -339,6 +339,44 @@ def test_alignment(spark):
     assert alignment.aligned_sentences(df.limit(0)).count() == 0
 
 
+def test_alignment_threshold_from_all_rows(spark, monkeypatch):
+    rng = random.Random(9)
+    words = [(f"{a}{b}", f"{chr(0x4E00 + 40 * i)}{chr(0x5200 + 30 * j)}") for i, a in enumerate(["ka", "ro", "mi", "te", "su"]) for j, b in enumerate(["lan", "der", "mot", "pix"])]
+    rows = []
+    for k in range(120):
+        told = [[*rng.sample(words, 4), (str(n := rng.randint(1, 40)),) * 2] for _ in range(rng.randint(1, 4))]
+        rows.append((k, " ".join("The " + " ".join(w for w, _ in s) + "." for s in told), "".join("、".join(w for _, w in s) + "。" for s in told)))
+    df = spark.createDataFrame(rows + rows[:30], "block_id long, text string, translation string")
+    model = alignment.fit(df, "text", "translation")
+    sides = list(alignment._sides(((t, j) for _, t, j in rows), model.vectors()))
+    every = np.concatenate([(x.a @ y.b.T).ravel() for x in sides for y in sides if x is not y])
+    assert abs(model.threshold - np.quantile(every, alignment.SHARE)) < 2e-3
+    # in groups too, all rows count, however they lie
+    monkeypatch.setattr(alignment, "MET", 20)
+    monkeypatch.setattr(alignment, "BLOCK", 9)
+    given = df.selectExpr("text as t", "translation as j")
+    first = alignment._threshold(given, 120, model)
+    assert first == alignment._threshold(given.repartition(7, "j"), 120, model) and abs(first - model.threshold) < 0.05
+
+
+def test_alignment_vectors(monkeypatch):
+    rng = np.random.default_rng(5)
+    words = {w: rng.standard_normal(alignment.SIZE) for w in "abcdef"}
+    weight = {"a": 2.0, "b": 0.5}
+    sentences = [["a", "b", "a", "12", "none"], [], ["none"], ["3.5", "12"], ["f", "e", "d", "c"]]
+    want = np.zeros((5, alignment.SIZE + alignment.FIGURES))
+    for out, tokens in zip(want, sentences):
+        for t in set(tokens):
+            out[: alignment.SIZE] += words.get(t, 0) * np.float64(weight.get(t, 3.0))
+            out[alignment.SIZE :] += alignment._figure_vector(t) if t[0].isdigit() else 0
+        for at, share in ((slice(0, alignment.SIZE), 0.7), (slice(alignment.SIZE, None), 0.714), (slice(None), 1.0)):
+            out[at] *= share / (np.linalg.norm(out[at]) or 1)
+    vectors = alignment.Vectors(words, weight, 3.0)
+    assert np.allclose(vectors.embed(sentences), want)
+    monkeypatch.setattr(alignment, "GATHERED", 1)  # in many parts, and figures forgotten
+    assert np.allclose(vectors.embed(sentences), want) and np.allclose(vectors.embed(sentences[::-1]), want[::-1])
+
+
 def test_nearest_in_blocks(monkeypatch):
     monkeypatch.setattr(alignment, "BLOCK", 7)
     rng = np.random.default_rng(3)
