@@ -359,6 +359,12 @@ def test_alignment_threshold_from_all_rows(spark, monkeypatch):
     assert first == alignment._threshold(given.repartition(7, "j"), 120, model) and abs(first - model.threshold) < 0.05
 
 
+def test_alignment_tokens():
+    en = ["The K-type relay draws 12mA at 3.7.2V.", "İstanbul aİb-c 5\x1ea", "", "10 ° x²3y ①a"]
+    assert alignment._tokens(en, alignment._EN) == [["the", "k-type", "relay", "draws", "12", "ma", "at", "3.7.2", "v"], ["stanbul", "a", "b-c", "5", "a"], [], ["10", "°", "x", "23", "y", "1", "a"]]
+    assert alignment._tokens(["各12mm、リレーは", "消費する12時間"], alignment._JA) == [["各", "12", "mm", "リレー"], ["消費", "12", "時間"]] and alignment._tokens([], alignment._JA) == []
+
+
 def test_alignment_vectors(monkeypatch):
     rng = np.random.default_rng(5)
     words = {w: rng.standard_normal(alignment.SIZE) for w in "abcdef"}
@@ -373,6 +379,8 @@ def test_alignment_vectors(monkeypatch):
             out[at] *= share / (np.linalg.norm(out[at]) or 1)
     vectors = alignment.Vectors(words, weight, 3.0)
     assert np.allclose(vectors.embed(sentences), want)
+    monkeypatch.setattr(alignment, "OFTEN", 1)  # one of them by a product
+    assert np.allclose(vectors.embed(sentences), want)
     monkeypatch.setattr(alignment, "GATHERED", 1)  # in many parts, and figures forgotten
     assert np.allclose(vectors.embed(sentences), want) and np.allclose(vectors.embed(sentences[::-1]), want[::-1])
 
