@@ -1,11 +1,13 @@
 """Evaluation texts leaking into training text (problem 7): latent semantic retrieval and exact checks.
 
-Texts are cut into overlapping passages of words. A distributed randomised SVD
-(one pass over all passages, Nystroem form) of the TF-IDF passages of corpus and
-items gives a latent space; every corpus passage that could meet a check is
-compared there with every item passage. Candidates above a calibrated cosine are
-checked on words: runs of common words, longest common subsequence, and whether
-the item's figures occur. All checks run on bit masks over the item's words.
+Texts are cut into overlapping passages of words. Every corpus passage is held
+against every section of the items: those with enough words in common to meet a
+check, a condition that each check implies, are checked on words: runs of common
+words, longest common subsequence, and whether the item's figures occur. All
+checks run on bit masks over the item's words, and no pair that meets one is
+left out. A distributed randomised SVD (one pass over all passages, Nystroem
+form) of the TF-IDF passages of corpus and items gives a latent space, in which
+the cosine of each pair found is measured; no bound on it cuts pairs off.
 
 The items are a stated query set: they are taken in blocks of at most
 ``BLOCK_WORDS`` words and ``BLOCK_CELLS`` cells of sections by words, and only a
@@ -31,13 +33,11 @@ RANK = 64
 EXTRA = 8  # additional random directions
 BLOCK_WORDS = 200_000  # words of the items compared in one pass
 BLOCK_CELLS = 16_000_000  # sections of the items times their different words
-CALIBRATION = 4000  # simulated leaks that set the cosine bound, and passages of the corpus they are set into
-SPARE = 8  # times that many passages reach the driver at most
 ORDERED = 18  # words of a passage in order that make a paraphrase
 PART = ORDERED - RUN // 2  # of them at least lie in the nearer of the two passages that a paraphrase meets, wherever it begins
-SLACK = 0.95  # share of the least simulated cosine that is still a candidate
 STEP = 1 << 20  # characters handled at once in a task
 PAIRS = 8192  # pairs checked at once
+COUNTED = 1 << 22  # rows of words times sections counted at once
 OFTEN = 128  # words that the sketch takes by a product
 
 _WORD = re.compile(r"[^\W_]+")
@@ -52,7 +52,7 @@ class Space:
     ids: np.ndarray  # the item of each section
     digits: np.ndarray  # which words are figures; the last stands for -1
     at: np.ndarray  # (section, word): which mask says where the section has the word; 0 for none
-    held: np.ndarray  # whether it has, one byte each
+    held: np.ndarray  # (word, section): whether it has, one byte each
     masks: np.ndarray  # of the places in a section, SECTION bits
     figures: np.ndarray  # the places of figures in each section
     shift: np.uint64  # that takes a hash to its slot
@@ -60,7 +60,6 @@ class Space:
     spans: list  # (mask of the places, which sections have figures there) of each passage of the sections
     term: np.ndarray | None = None  # latent vector of each word, times its inverse document frequency; the last is zero
     passage: np.ndarray | None = None  # (n, section): normed latent vectors of the n-th passages of the sections, zero where there is none
-    bound: float = 0.0
 
     def codes(self, hashes: np.ndarray) -> np.ndarray:
         """The number of each word, -1 if the items don't have it."""
@@ -122,7 +121,7 @@ def _prepared(items: list[tuple]) -> Space | None:
         n = np.bitwise_count(figure & _bits(inside)).sum(1)
         if n.any():
             spans.append((_bits(inside), n))
-    return Space(vocabulary, padded, np.asarray(ids), np.concatenate([marked, [False]]), at, (at > 0).astype(np.uint8), _bits(places), figure, shift, slots, spans)
+    return Space(vocabulary, padded, np.asarray(ids), np.concatenate([marked, [False]]), at, np.ascontiguousarray((at > 0).T.astype(np.uint8)), _bits(places), figure, shift, slots, spans)
 
 
 def _item_blocks(items: DataFrame) -> Iterator[Space]:
@@ -260,68 +259,11 @@ def _fit(space: Space, docs: DataFrame, seed: int = 3) -> None:
     space.passage[nth, owner] = z
 
 
-def _background(space: Space, docs: DataFrame) -> np.ndarray:
-    """One row of words of each of up to CALIBRATION texts, the first in an order by hash of all texts."""
-    shared = docs.sparkSession.sparkContext.broadcast(space)
-    total = docs.count()
-    h = F.shiftrightunsigned(F.xxhash64("text"), 11)
-    some = docs if total <= SPARE * CALIBRATION else docs.filter(h < int((1 << 53) * (SPARE * CALIBRATION / total)))
-
-    def pick(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in it:
-            out = []
-            for x, text in zip(pdf["h"], pdf["text"]):
-                rows, _ = _rows(*((lambda c, n: (shared.value.codes(c), n))(*W.hashed([text]))))
-                if len(rows):
-                    out.append((x, rows[x % len(rows)].astype(np.int32).tobytes()))
-            yield pd.DataFrame(out, columns=["h", "body"])
-
-    got = some.select(h.alias("h"), "text").mapInPandas(pick, "h long, body binary").distinct().orderBy("h", "body").limit(CALIBRATION).collect()
-    return np.stack([np.frombuffer(r.body, np.int32) for r in got]) if got else np.full((1, RUN), -1, np.int32)
-
-
 def _best(space: Space, z: np.ndarray, section: np.ndarray) -> np.ndarray:
     """The greatest cosine of each vector with a passage of its section."""
     return space.cosines(z)[np.arange(len(z)), section]
 
 
-def _calibrate(space: Space, rows: np.ndarray, seed: int = 5) -> float:
-    """The cosine bound: SLACK times the least best cosine of runs of RUN item words, and of rewordings begun anywhere, set into corpus words."""
-    rng = np.random.default_rng(seed)
-    size = (space.sections >= 0).sum(1)
-
-    def drawn(width: int) -> tuple[np.ndarray, np.ndarray]:
-        """Sections and windows of so many of their words, all starts alike."""
-        room = np.maximum(size - width + 1, 0)
-        if not room.sum():
-            return np.empty(0, int), np.empty((0, width), int)
-        k = np.sort(rng.choice(len(size), CALIBRATION, p=room / room.sum()))
-        return k, space.sections[k[:, None], (rng.random(len(k)) * room[k]).astype(int)[:, None] + np.arange(width)]
-
-    least = 1.0
-    k, run = drawn(RUN)
-    if not len(k):
-        return 0.0
-    z = space.term[run].sum(1) + space.term[rows[rng.integers(0, len(rows), len(k))]].sum(1)
-    least = min(least, float(_best(space, z, k).min()))
-    # rewordings: ORDERED words of two rows are kept, beginning at any word of a row; a passage must hold PART of them
-    k, window = drawn(2 * RUN)
-    if len(k):
-        n, w = len(k), 2 * RUN
-        kept = rng.random((n, w)).argsort(1) < ORDERED
-        told = rows[rng.integers(0, len(rows), (n, 3))].reshape(n, 3 * RUN)
-        at, line = rng.integers(0, RUN, n)[:, None] + np.arange(w), np.arange(n)[:, None]
-        told[line, at] = np.where(kept, window, told[line, at])
-        set_in = np.zeros((n, 3 * RUN), bool)
-        set_in[line, at] = kept
-        best = np.full(n, -1.0)
-        for a in (0, RUN):
-            s = _best(space, space.term[told[:, a : a + w]].sum(1), k)
-            best = np.where(set_in[:, a : a + w].sum(1) >= PART, np.maximum(best, s), best)
-        least = min(least, float(best.min()))
-    return SLACK * least
-
-
 def _shifted(m: np.ndarray, k: int) -> np.ndarray:
     """Masks (..., 2) moved up by ``k`` < 64 places."""
     out = m << np.uint64(k)
@@ -378,22 +320,18 @@ def _figures(space: Space, k: np.ndarray, hit: np.ndarray) -> np.ndarray:
 
 
 def _checked(space: Space, rows: np.ndarray, owner: np.ndarray, i: np.ndarray, k: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Which pairs of passage ``i`` and section ``k`` meet a check, and their longest run, subsequence and share of figures.
+    """Which pairs (of ``_alike``) of passage ``i`` and section ``k`` meet a check, and their longest run, subsequence and share of figures.
 
     Runs are looked for in the passage; rewordings in all windows of two rows
     that begin at any word from the row before to the row after it.
     """
-    width = space.at.shape[1]
     after = np.minimum(i + 1, len(rows) - 1)
     code = np.concatenate([rows[i], np.where((owner[after] == owner[i])[:, None] & (after > i)[:, None], rows[after], -1)], axis=1)
-    at = (k * width)[:, None] + code
-    at[code < 0] += width  # the last column
-    enough = np.flatnonzero(np.take(space.held, at).sum(1) >= PART)
-    m = space.masks[np.take(space.at, at[enough])]
+    m = space.masks[space.at[k[:, None], code]]
     run = _has_run(m)
     some = run | (_lcs(m) >= PART)
-    enough, run = enough[some], run[some]
-    i, k = i[enough], k[enough]
+    enough = np.flatnonzero(some)
+    run, i, k = run[some], i[some], k[some]
     beside = i[:, None] + np.arange(-1, 3)
     inside = (beside >= 0) & (beside < len(rows))
     beside = np.clip(beside, 0, len(rows) - 1)
@@ -445,6 +383,31 @@ def _possible(space: Space, rows: np.ndarray, owner: np.ndarray) -> np.ndarray:
     return np.flatnonzero((both >= PART) & (run | beside))
 
 
+def _alike(space: Space, rows: np.ndarray, owner: np.ndarray, passages: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The pairs of a passage and a section that have the words in common that a check needs.
+
+    A run needs RUN of the passage's words in the section. A rewording needs PART of them, and ORDERED in
+    three rows: two rows that begin anywhere from the row before to the row after lie in three.
+    """
+    size = max(COUNTED // space.held.shape[1], 16)
+    for c in range(0, len(passages), size):
+        p = passages[c : c + size]
+        beside = p[:, None] + np.arange(-1, 3)
+        inside = (beside >= 0) & (beside < len(rows))
+        inside &= owner[np.clip(beside, 0, len(rows) - 1)] == owner[p][:, None]
+        need, at = np.unique(np.clip(beside, 0, len(rows) - 1), return_inverse=True)
+        have = np.zeros((len(need) + 1, space.held.shape[1]), np.uint8)  # words of each row that each section has; the last for none
+        for q in range(RUN):
+            have[:-1] += np.take(space.held, rows[need, q], axis=0, mode="wrap")
+        before, own, after, last = np.where(inside, at.reshape(beside.shape), len(need)).T
+        both = have[own] + have[after]
+        i, k = np.nonzero(both >= PART)
+        both = both[i, k]
+        reach = both + np.maximum(have[before[i], k], have[last[i], k])
+        some = (both >= RUN) | (reach >= ORDERED)
+        yield p[i[some]], k[some]
+
+
 def leaked_passages(corpus: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
     """The (document, item) pairs that share a passage: the best cosine and the checks on words.
 
@@ -469,7 +432,6 @@ def leaked_passages(corpus: DataFrame, items: DataFrame, doc_id: str = "doc_id",
     out = None
     for space in _item_blocks(q):
         _fit(space, docs)
-        space.bound = _calibrate(space, _background(space, docs))
         shared = spark.sparkContext.broadcast(space)  # bounded by BLOCK_WORDS and BLOCK_CELLS
 
         def search(it: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
@@ -479,21 +441,14 @@ def leaked_passages(corpus: DataFrame, items: DataFrame, doc_id: str = "doc_id",
                 for a, b in W.batches(texts, STEP):
                     h, counts = W.hashed(texts[a:b])
                     rows, owner = _rows(sp.codes(h), counts)
-                    z = _row_sums(sp.term, rows)
-                    tied = _tied(owner)[:-1]
-                    after = z[1:][tied].copy()
-                    z[:-1][tied] += after
-                    possible = _possible(sp, rows, owner)
-                    for c in range(0, len(possible), 4096):
-                        at = possible[c : c + 4096]
-                        s = sp.cosines(z[at])
-                        i, k = np.nonzero(s >= sp.bound)
+                    for i, k in _alike(sp, rows, owner, _possible(sp, rows, owner)):
                         for d in range(0, len(i), PAIRS):
-                            part = slice(d, d + PAIRS)
-                            met, run, lcs, share = _checked(sp, rows, owner, at[i[part]], k[part])
+                            met, run, lcs, share = _checked(sp, rows, owner, i[d : d + PAIRS], k[d : d + PAIRS])
                             if len(met):
-                                x, y = i[part][met], k[part][met]
-                                yield pd.DataFrame({doc_id: keys[a + owner[at[x]]], item_id: sp.ids[y], "cosine": s[x, y].astype(float), "longest_run": run, "lcs": lcs, "figures": share})
+                                x, y = i[d : d + PAIRS][met], k[d : d + PAIRS][met]
+                                after = np.minimum(x + 1, len(rows) - 1)
+                                z = _row_sums(sp.term, rows[x]) + _row_sums(sp.term, rows[after]) * ((owner[after] == owner[x]) & (after > x))[:, None]
+                                yield pd.DataFrame({doc_id: keys[a + owner[x]], item_id: sp.ids[y], "cosine": _best(sp, z, y).astype(float), "longest_run": run, "lcs": lcs, "figures": share})
 
         got = docs.mapInPandas(search, schema)
         out = got if out is None else out.unionByName(got)

@@ -215,6 +215,35 @@ def test_paraphrases_begin_anywhere(spark):
     assert {(r.doc_id, r.item_id) for r in found.collect()} == {(d, d % 20) for d in range(39)} | {(99, 38 % 20)}
 
 
+def test_leaks_in_any_surroundings(spark):
+    rng = random.Random(11)
+    items = [(i, " ".join(f"w{rng.randrange(300)}" if k % 5 else str(100 * i + k) for k in range(40))) for i in range(10)]
+    words = [t.split() for _, t in items]
+    docs = [(d, " ".join(f"w{rng.randrange(300)}" for _ in range(rng.randint(100, 300)))) for d in range(150)]
+    # parts of an item within one word of another one, again and again, in long texts
+    for d in range(6):
+        loud = [words[(d + 1) % 10][0]] * 40
+        told = words[d][7:20] if d < 3 else [w if k % 3 < 2 or k > 23 else loud[0] for k, w in enumerate(words[d][10:36])]
+        plain = [f"w{rng.randrange(300)}" for _ in range(2600)]
+        docs.append((500 + d, " ".join(plain + loud + told + loud + plain)))
+    found = leakage.leaked_passages(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id int, text string"))
+    assert {(r.doc_id, r.item_id, r.kind) for r in found.collect()} == {(500 + d, d, "verbatim" if d < 3 else "paraphrase") for d in range(6)}
+
+
+def test_alike_passages():
+    rng = np.random.default_rng(7)
+    space = leakage._prepared([(i, " ".join(f"w{x}" for x in rng.integers(0, 60, 50))) for i in range(9)] + [(9, "7 w1")])
+    texts = [" ".join(f"w{x}" for x in rng.integers(0, 70, n)) for n in (5, 26, 90, 13, 400)]
+    h, counts = leakage.W.hashed(texts)
+    rows, owner = leakage._rows(space.codes(h), counts)
+    got = {(int(a), int(b)) for i, k in leakage._alike(space, rows, owner, np.arange(len(rows))) for a, b in zip(i, k)}
+    have = (space.at[:, rows] > 0).sum(2)  # (section, row)
+    of = lambda k, r, i: int(have[k, r]) if 0 <= r < len(rows) and owner[r] == owner[i] else 0
+    both = {(i, k): of(k, i, i) + of(k, i + 1, i) for i in range(len(rows)) for k in range(len(have))}
+    reach = {(i, k): n + max(of(k, i - 1, i), of(k, i + 2, i)) for (i, k), n in both.items()}
+    assert got and got == {p for p, n in both.items() if n >= leakage.RUN or n >= leakage.PART and reach[p] >= leakage.ORDERED}
+
+
 def test_word_checks():
     rng = np.random.default_rng(3)
     section = rng.integers(0, 9, 100)
