@@ -255,6 +255,23 @@ def test_best_first_equals_greedy(spark):
     assert {(r.left_id, r.right_id) for r in D.best_first(df, ["k"]).collect()} == want
 
 
+def test_bounds_leave_few_pairs_and_lose_none(monkeypatch):
+    rng = random.Random(9)
+    words = "brake lamp door valve relay shall resist release within the of a test Where fewer than 23 of 8.9 kPa, (see B7) marked at 'Quartz' 第一 制動".split()
+    text = lambda n: " ".join(f"{rng.choice(words)}{rng.randint(0, 999) if rng.random() < 0.2 else ''}" for _ in range(n))
+    old = [text(rng.choice([20, 60, 90])) for _ in range(40)] + ["", "e" * 250 + "x", "ab" * 120, "".join(chr(33 + k % 90) for k in range(260))]
+    new = [" ".join(w for w in t.split() if rng.random() < 0.8) for t in old[:20]] + [text(rng.choice([20, 60, 90])) for _ in range(20)] + ["e" * 240, "ba" * 130, "".join(chr(33 + k % 89) for k in range(250)), old[3]]
+    for t in (0.5, 0.9):
+        want = sorted((i, j, r) for i, a in enumerate(old) for j, b in enumerate(new) if (r := similarity.ratio(a, b)) >= t)
+        assert sorted(similarity.ratios_at_least(old, new, t)) == want
+    compared = []
+    exact = similarity._matched
+    monkeypatch.setattr(similarity, "_matched", lambda *x: compared.append(x) or exact(*x))
+    letters = "etaoinshrdlucmfwypvbgkjqxz"
+    odd = ["".join(rng.choices(letters + " ", range(27, 0, -1), k=400)) for _ in range(40)]  # long texts without anything in common
+    assert list(similarity.ratios_at_least(odd[:20], odd[20:], 0.5)) == [] and len(compared) < 40
+
+
 def test_near_duplicates(spark):
     t = "a footnote that repeats on every page of the annex"
     df = spark.createDataFrame([("k", 1, t), ("k", 2, t + "."), ("k", 3, "other"), ("q", 4, t), ("k", 5, None), ("k", 6, None)], "k string, id long, text string")
