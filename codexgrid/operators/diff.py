@@ -7,13 +7,14 @@ similarity join and is matched one to one, best pairs first.
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from codexgrid.functions import blocks as B
-from codexgrid.operators.similarity import ratio_udf, similar_texts
+from codexgrid.operators.similarity import ratio_udf, similar_texts, spread
 from codexgrid.plans.materialize import written
 
 MOVED = 0.92
@@ -33,17 +34,21 @@ def best_first(pairs: DataFrame, keys: list[str]) -> DataFrame:
     size = pairs.groupBy(*keys).agg(F.count("*").alias("_size"))
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pairs.schema)
 
-    def greedy(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["similarity", "left_id", "right_id"], ascending=[False, True, True], kind="stable")
-        left, right, keep = set(), set(), []
-        for i, j in zip(pdf["left_id"].tolist(), pdf["right_id"].tolist()):
-            keep.append(i not in left and j not in right)
-            if keep[-1]:
-                left.add(i)
-                right.add(j)
-        return pdf[np.asarray(keep, bool)]
-
-    done = pairs.join(size.filter(F.col("_size") <= GATHERED).select(*keys), keys, "left_semi").select(*pairs.columns).groupBy(*keys).applyInPandas(greedy, fields)
+    def greedy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        left, right = set(), set()  # of all the task's documents
+        for batch in batches:
+            docs = list(zip(*(batch[k].to_pylist() for k in keys)))
+            keep = []
+            for doc, i, j in zip(docs, batch["left_id"].to_pylist(), batch["right_id"].to_pylist()):
+                keep.append((doc, i) not in left and (doc, j) not in right)
+                if keep[-1]:
+                    left.add((doc, i))
+                    right.add((doc, j))
+            yield batch.filter(pa.array(keep, pa.bool_()))
+
+    small = pairs.join(size.filter(F.col("_size") <= GATHERED).select(*keys), keys, "left_semi").select(*pairs.columns)
+    small = small.repartition(spread(small), *keys).sortWithinPartitions(F.col("similarity").desc(), "left_id", "right_id")
+    done = small.mapInArrow(greedy, fields)
     left = pairs.join(size.filter(F.col("_size") > GATHERED).select(*keys), keys, "left_semi").select(*pairs.columns)
     rank = F.struct(F.col("similarity"), -F.col("left_id"), -F.col("right_id"))
     while not left.isEmpty():

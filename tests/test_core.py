@@ -272,6 +272,14 @@ def test_bounds_leave_few_pairs_and_lose_none(monkeypatch):
     assert list(similarity.ratios_at_least(odd[:20], odd[20:], 0.5)) == [] and len(compared) < 40
 
 
+def test_few_bytes_of_pairs_are_spread_over_tasks(spark):
+    rng = random.Random(4)
+    rows = spark.createDataFrame([(f"d{d}", i, " ".join(rng.choice("abcdefgh") * 3 for _ in range(9))) for d in range(9) for i in range(4)], "doc string, id long, text string")
+    pairs = similarity.similar_texts(rows, rows, ["doc"], 0.5)
+    assert pairs.rdd.getNumPartitions() >= 16
+    assert D.best_first(pairs, ["doc"]).filter("similarity >= 0").rdd.getNumPartitions() >= 16
+
+
 def test_near_duplicates(spark):
     t = "a footnote that repeats on every page of the annex"
     df = spark.createDataFrame([("k", 1, t), ("k", 2, t + "."), ("k", 3, "other"), ("q", 4, t), ("k", 5, None), ("k", 6, None)], "k string, id long, text string")
