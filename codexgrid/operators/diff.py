@@ -89,6 +89,7 @@ def diff(old: DataFrame, new: DataFrame, keys: list[str], fuzzy: bool = True) ->
         # the earlier new row wins a tie, then the earlier old one
         turned = pairs.select(*keys, F.col("right_id").alias("left_id"), F.col("left_id").alias("right_id"), "similarity")
         won = best_first(turned, keys).select(*keys, F.col("left_id").cast("int").alias("pos"), F.col("right_id").cast("int").alias("o_pos"), "similarity")
+        won = written(won, "diff-won")  # three joins read it
         met = rest_n.join(won, [*keys, "pos"]).join(rest_o.select(*keys, "o_pos", F.col("uid").alias("o_uid"), "o_text"), [*keys, "o_pos"])
         entries = entries.unionByName(out(met, F.when(F.col("similarity") >= MOVED, "SLID").otherwise("MODIFIED"), F.col("o_uid"), F.col("text"), F.col("o_text"), F.bround("similarity", 4), F.col("pos")))
         rest_n = rest_n.join(won, [*keys, "pos"], "left_anti")

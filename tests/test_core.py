@@ -280,6 +280,15 @@ def test_few_bytes_of_pairs_are_spread_over_tasks(spark):
     assert D.best_first(pairs, ["doc"]).filter("similarity >= 0").rdd.getNumPartitions() >= 16
 
 
+def test_matching_is_done_once(spark):
+    s = "doc string, pos int, uid string, number string, title string, text string"
+    old, new = (spark.createDataFrame([("d", i, f"{u}{i}", "1", "t", f"the quick brown fox {i}{u}") for i in range(3)], s) for u in "ab")
+    d = D.summary(D.diff(old, new, ["doc"]), ["doc"])
+    assert [(r.type, r.n) for r in d.collect()] == [("SLID", 3)]
+    plan = d._jdf.queryExecution().optimizedPlan().toString()
+    assert not any(x in plan for x in ("MapInArrow", "FlatMapGroupsInPandas", "FlatMapCoGroups"))
+
+
 def test_near_duplicates(spark):
     t = "a footnote that repeats on every page of the annex"
     df = spark.createDataFrame([("k", 1, t), ("k", 2, t + "."), ("k", 3, "other"), ("q", 4, t), ("k", 5, None), ("k", 6, None)], "k string, id long, text string")
